@@ -35,6 +35,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), lambda v: body(v)).getItem(0)
 
 
+def rows_of(items: Column) -> Column:
+    """An array to explode that was computed in an earlier step.
+
+    Exploding a bare column makes the optimizer infer a filter on its size and
+    push that below the step, which would compute the array twice.
+    """
+    return F.slice(items, 1, 1 << 30)
+
+
 def strip(text: Column) -> Column:
     """Remove Unicode whitespace from both ends; looks at the ends only."""
     return F.btrim(text, F.lit(SPACE_CHARS))

@@ -22,8 +22,9 @@ from pyspark.sql.window import Window
 
 from .. import lexicon as L
 from ..functions.json import error_of, triple_items
+from ..functions.order import order_key
 from ..functions.relations import has_relation_keyword, is_placeholder, normalize_relation, valid_entity
-from ..functions.text import strip
+from ..functions.text import rows_of, strip
 
 
 def reason(ok: Column, head: Column, rel: Column, tail: Column) -> Column:
@@ -40,16 +41,19 @@ def reason(ok: Column, head: Column, rel: Column, tail: Column) -> Column:
 # --- long form ---------------------------------------------------------------
 
 
+def _stripped(triples: DataFrame) -> DataFrame:
+    parts = {c: strip(F.col(c)) for c in ("head", "rel", "tail")}
+    return triples.withColumns(parts).withColumn("rel_norm", normalize_relation(F.col("rel")))
+
+
+def _reason_of_columns() -> Column:
+    head, rel, tail = (F.col(c) for c in ("head", "rel", "tail"))
+    return reason(head.isNotNull() & rel.isNotNull() & tail.isNotNull(), head, rel, tail)
+
+
 def classify(triples: DataFrame) -> DataFrame:
     """Strip the parts and add ``reason`` (NULL for survivors) and ``rel_norm``."""
-    ok = F.col("head").isNotNull() & F.col("rel").isNotNull() & F.col("tail").isNotNull()
-    parts = {c: strip(F.col(c)) for c in ("head", "rel", "tail")}
-    return triples.withColumns(parts).withColumns(
-        {
-            "reason": reason(ok, F.col("head"), F.col("rel"), F.col("tail")),
-            "rel_norm": normalize_relation(F.col("rel")),
-        }
-    )
+    return _stripped(triples).withColumn("reason", _reason_of_columns())
 
 
 def clean_triples(triples: DataFrame, rec: str = "rec") -> DataFrame:
@@ -57,12 +61,15 @@ def clean_triples(triples: DataFrame, rec: str = "rec") -> DataFrame:
 
     Returns rec, pos, head, rel, tail with the normalised relation.
     """
-    kept = classify(triples).filter("reason is null")
-    return (
-        kept.groupBy(rec, "head", F.col("rel_norm").alias("rel"), "tail")
-        .agg(F.min("pos").alias("pos"))
-        .select(rec, "pos", "head", "rel", "tail")
-    )
+    kept = _survivors(triples, rec)
+    return kept.groupBy(rec, "head", "rel", "tail").agg(F.min("pos").alias("pos")).select(rec, "pos", "head", "rel", "tail")
+
+
+def _survivors(triples: DataFrame, rec: str) -> DataFrame:
+    """Rows without a reason; generated, since a filter would repeat the ladder."""
+    row = F.struct("head", F.col("rel_norm").alias("rel"), "tail")
+    alive = F.when(_reason_of_columns().isNull(), F.array(row))
+    return _stripped(triples).select(rec, "pos", F.inline(alive))
 
 
 def _outcome(triples: DataFrame, rec: str) -> DataFrame:
@@ -73,11 +80,11 @@ def _outcome(triples: DataFrame, rec: str) -> DataFrame:
     """
     c = classify(triples)
     alive = F.col("reason").isNull()
-    keys = [F.when(alive, F.col(k)).alias(k) for k in (rec, "head", "rel_norm", "tail")]
-    first = F.struct(F.col(rec).alias("rec"), F.lit(1).alias("stage"), F.col("pos").alias("pos"))
+    keys = [F.when(alive, F.col(k)).alias(f"_{k}") for k in (rec, "head", "rel_norm", "tail")]
+    first = order_key(triples, rec, "pos").alias("first")
     return (
-        c.select(*keys, "reason", first.alias("first"))
-        .groupBy(rec, "head", "rel_norm", "tail", "reason")
+        c.select(*keys, "reason", rec, first)
+        .groupBy("reason", *[f"_{k}" for k in (rec, "head", "rel_norm", "tail")])
         .agg(F.count("*").alias("n"), F.min("first").alias("first"))
     )
 
@@ -89,24 +96,25 @@ def reason_counts(triples: DataFrame, errors: DataFrame | None = None, rec: str
     """
     out = _outcome(triples, rec)
     alive = F.col("reason").isNull()
-    dups = F.when(alive, F.col("n") - 1).otherwise(F.col("n"))
-    # duplicates are found after all other checks of their record
-    when = F.struct(F.col("first.rec"), F.when(alive, 2).otherwise(F.col("first.stage")).alias("stage"), F.col("first.pos"))
-    counted = out.select(F.coalesce("reason", F.lit("dup")).alias("reason"), dups.alias("n"), when.alias("first"))
+    removed = out.select(
+        F.coalesce("reason", F.lit("dup")).alias("reason"),
+        F.when(alive, F.col("n") - 1).otherwise(F.col("n")).alias("n"),
+        "first",
+    )
     if errors is not None:
-        seen = F.struct(F.col(rec).alias("rec"), F.lit(0).alias("stage"), F.lit(None).cast(_pos_type(triples)).alias("pos"))
-        failed = errors.select(F.lit("llm_parse_error").alias("reason"), F.lit(1).cast("bigint").alias("n"), seen.alias("first"))
-        counted = counted.unionByName(failed)
-    totals = (
-        counted.filter("n > 0").groupBy("reason").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+        start = errors.select(rec, F.lit(0).cast(triples.schema["pos"].dataType).alias("pos"))
+        removed = removed.unionByName(
+            start.select(F.lit("llm_parse_error").alias("reason"), F.lit(1).cast("bigint").alias("n"),
+                         order_key(triples, rec, "pos").alias("first"))
+        )
+    totals = removed.groupBy("reason").agg(
+        F.sum("n").alias("n"), F.min(F.when(F.col("n") > 0, F.col("first"))).alias("first")
     )
-    # at most one row per reason reaches this window
-    order = Window.orderBy(F.desc("n"), "first")
-    return totals.select("reason", "n", F.row_number().over(order).alias("rank"))
-
-
-def _pos_type(triples: DataFrame):
-    return triples.schema["pos"].dataType
+    # at most one row per reason reaches this window; duplicates are found
+    # after, parse errors before all other checks of their record
+    late = F.when(F.col("reason") == "dup", 2).when(F.col("reason") == "llm_parse_error", 0).otherwise(1)
+    order = Window.orderBy(F.desc("n"), "first", late)
+    return totals.filter("n > 0").select("reason", "n", F.row_number().over(order).alias("rank"))
 
 
 def clean_totals(triples: DataFrame, rec: str = "rec") -> DataFrame:
@@ -190,9 +198,8 @@ def clean_lists(records: DataFrame, triplets: str = "triplets") -> DataFrame:
 
 def removed_totals(cleaned: DataFrame) -> DataFrame:
     """Sum of the ``removed`` maps of ``clean_records``: reason, n."""
-    return (
-        cleaned.select(F.explode("removed").alias("reason", "c")).groupBy("reason").agg(F.sum("c").alias("n"))
-    )
+    rows = cleaned.select(F.inline(rows_of(F.map_entries("removed")))).toDF("reason", "c")
+    return rows.groupBy("reason").agg(F.sum("c").alias("n"))
 
 
 def valid_items(triplets: Column) -> Column:

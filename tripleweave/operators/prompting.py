@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as L
 from ..functions import prompts as P
+from ..functions.text import rows_of
 
 
 def render_ner(df: DataFrame, mode: str = "strict", hub: str = L.HUB) -> DataFrame:
@@ -30,5 +31,5 @@ def render_core(df: DataFrame, concepts=tuple(L.CORE_CONCEPTS), answer_format: s
 
 def explode_messages(df: DataFrame, *keys: str) -> DataFrame:
     """One row per message: keys, turn, role, content."""
-    rows = df.select(*keys, F.posexplode("messages").alias("turn", "m"))
+    rows = df.select(*keys, F.posexplode(rows_of(F.col("messages"))).alias("turn", "m"))
     return rows.select(*keys, "turn", "m.role", "m.content")

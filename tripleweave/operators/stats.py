@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.order import order_key
+
 
 def triplet_stats(records: DataFrame, triplets: Column) -> DataFrame:
     """One row: records, and triples in list-valued fields (NULL size is no list)."""
@@ -16,8 +18,9 @@ def top_relations(triples: DataFrame, *order: str, n: int = 10) -> DataFrame:
     """Most frequent raw relations, ties by first occurrence."""
     return (
         triples.filter("rel is not null")
+        .select("rel", order_key(triples, *order).alias("_first"))
         .groupBy("rel")
-        .agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("first"))
+        .agg(F.count("*").alias("n"), F.min("_first").alias("first"))
         .orderBy(F.desc("n"), "first")
         .limit(n)
         .select("rel", "n")

@@ -11,12 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = "struct<i:int,text:string,lemma:string,pos:string,tag:string,dep:string,head_i:int,is_space:boolean>"
 TOKENS = f"array<{TOKEN}>"
+ARROW_TOKENS = pa.list_(pa.struct([
+    ("i", pa.int32()), ("text", pa.string()), ("lemma", pa.string()), ("pos", pa.string()), ("tag", pa.string()),
+    ("dep", pa.string()), ("head_i", pa.int32()), ("is_space", pa.bool_()),
+]))
 FEATURES = (
     "struct<tokens:array<struct<text:string,lemma:string,pos:string,tag:string,dep:string,i:int,head_i:int,"
     "head_text:string>>,dep:string,con_pos:string,"
@@ -31,13 +35,15 @@ def annotate_tokens(df: DataFrame, load: Callable[[], Callable[[str], list[dict]
     ``TOKEN``. Blank or missing text gets an empty list without a call.
     """
 
-    @F.pandas_udf(TOKENS)
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(TOKENS)
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parse = load()
         for batch in batches:
-            yield pd.Series([parse(t) if isinstance(t, str) and t.strip() else [] for t in batch])
+            texts = batch.to_pylist()
+            yield pa.array([parse(t) if t and t.strip() else [] for t in texts], ARROW_TOKENS)
 
-    return df.withColumn("tokens", tokens(F.col(text)))
+    # asked once per row, even if later steps use the tokens twice
+    return df.withColumn("tokens", tokens.asNondeterministic()(F.col(text)))
 
 
 def whitespace_tagger() -> Callable[[str], list[dict]]:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as L
 from ..functions.relations import contains_any
-from ..functions.text import let
+from ..functions.text import let, rows_of
 
 Lexicon = Sequence[tuple[str, Sequence[str], str]]
 INLINE_KEYWORDS = 256
@@ -51,7 +51,7 @@ def tag_records(chunks: DataFrame, lexicon: Lexicon = L.TAG_LEXICON, text: str =
 
 def explode_entities(records: DataFrame, *keys: str, entities: str = "entities") -> DataFrame:
     """Long form: keys, category, pos (within the category), entity."""
-    by_category = records.select(*keys, F.explode(entities).alias("category", "names"))
+    by_category = records.select(*keys, F.inline(rows_of(F.map_entries(entities)))).toDF(*keys, "category", "names")
     return by_category.select(*keys, "category", F.posexplode("names").alias("pos", "entity"))
 
 

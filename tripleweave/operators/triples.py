@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import lexicon as L
+from ..functions.text import rows_of
 
 TRIPLES = "array<struct<head:string,rel:string,tail:string>>"
 
@@ -72,7 +73,7 @@ def generate_triples(records: DataFrame, entities: str = "entities") -> DataFram
 
 def explode_triples(records: DataFrame, *keys: str, triplets: str = "triplets") -> DataFrame:
     """Long form: keys, pos, head, rel, tail."""
-    rows = records.select(*keys, F.posexplode(triplets).alias("pos", "t"))
+    rows = records.select(*keys, F.posexplode(rows_of(F.col(triplets))).alias("pos", "t"))
     return rows.select(*keys, "pos", "t.head", "t.rel", "t.tail")
 
 

@@ -503,51 +503,51 @@ def valid_entity(spark, sf):
     return counted.withColumn("valid", R.valid_entity(F.col("value")))
 
 
-@query(f"""with {V.SQL_CANDIDATES}, raw as (select rec, pos_text, ' ' || rel || chr(12288) as rel from cand),
-trimmed as (select rec, pos_text, rel, {V.sql_strip('rel')} as r from raw)
-select rec, pos_text as pos, rel, {V.SQL_NORM} as rel_norm from trimmed""")
+@query(f"""with {V.SQL_CANDIDATES}, raw as (select rec, pos, ' ' || rel || chr(12288) as rel from cand),
+trimmed as (select rec, pos, rel, {V.sql_strip('rel')} as r from raw)
+select rec, pos, rel, {V.SQL_NORM} as rel_norm from trimmed""")
 def normalize_relation(spark, sf):
     rows = V.candidates(spark, sf).withColumn("rel", F.concat(F.lit(" "), "rel", F.lit("　")))
-    return rows.select("rec", V.pos_text().alias("pos"), "rel", R.normalize_relation(F.col("rel")).alias("rel_norm"))
+    return rows.select("rec", "pos", "rel", R.normalize_relation(F.col("rel")).alias("rel_norm"))
 
 
 _SANITIZE = """(case when regexp_matches(s, '^[A-Za-z]') then upper(s) else upper('R_' || s) end)"""
 
 
 def _sanitized(expr: str) -> str:
-    return f"""(select rec, pos, pos_text, head, rel, tail, case when s = '' then 'REL' else s end as s from (
+    return f"""(select rec, pos, head, rel, tail, case when s = '' then 'REL' else s end as s from (
   select *, trim(regexp_replace({expr}, '[^\\p{{L}}\\p{{N}}_]+', '_', 'g'), '_') as s from graph_rows))"""
 
 
 _GRAPH_ROWS = f"""with {V.SQL_CANDIDATES},
-graph_rows as (select rec, pos, pos_text, head, case pos.l % 3 when 0 then rel || '-' when 1 then rel else '--' end as rel, tail from cand)"""
+graph_rows as (select rec, pos, supp, head, case (pos // 4000000000000) % 3 when 0 then rel || '-' when 1 then rel else '--' end as rel, tail from cand)"""
 
 
 def _graph_rows(spark, sf):
     """Candidates with relations of which several give one type."""
-    kind = F.col("pos.l_linenumber") % 3
+    kind = F.expr("pos div 4000000000000") % 3
     rel = F.when(kind == 0, F.concat("rel", F.lit("-"))).when(kind == 1, F.col("rel")).otherwise("--")
     return V.candidates(spark, sf).withColumn("rel", rel)
 
 
-@query(_GRAPH_ROWS + f" select rec, pos_text as pos, rel, {_SANITIZE} as rel_type from {_sanitized('rel')}")
+@query(_GRAPH_ROWS + f" select rec, pos, rel, {_SANITIZE} as rel_type from {_sanitized('rel')}")
 def sanitize_relation(spark, sf):
     rows = _graph_rows(spark, sf)
-    return rows.select("rec", V.pos_text().alias("pos"), "rel", R.sanitize_relation(F.col("rel")).alias("rel_type"))
+    return rows.select("rec", "pos", "rel", R.sanitize_relation(F.col("rel")).alias("rel_type"))
 
 
-@query(f"with {V.SQL_CLEAN_CANDIDATES} select rec, pos_text as pos, h as head, rn as rel_norm, t as tail, reason from judged")
+@query(f"with {V.SQL_CLEAN_CANDIDATES} select rec, pos, h as head, rn as rel_norm, t as tail, reason from judged")
 def clean_reasons(spark, sf):
     rows = cleaning.classify(V.candidates(spark, sf))
-    return rows.select("rec", V.pos_text().alias("pos"), "head", "rel_norm", "tail", "reason")
+    return rows.select("rec", "pos", "head", "rel_norm", "tail", "reason")
 
 
-@query(f"with {V.SQL_CLEAN_CANDIDATES} select rec, pos_text as pos, head, rel, tail from kept")
+@query(f"with {V.SQL_CLEAN_CANDIDATES} select rec, pos, head, rel, tail from kept")
 def clean_dedup(spark, sf):
-    return cleaning.clean_triples(V.candidates(spark, sf)).withColumn("pos", V.pos_text())
+    return cleaning.clean_triples(V.candidates(spark, sf))
 
 
-_CLEAN_RECORDS = f"with {V.SQL_ITEMS},\n" + V.sql_judged("parted").replace("{pos_text}", "")
+_CLEAN_RECORDS = f"with {V.SQL_ITEMS},\n" + V.sql_judged("parted")
 
 
 @query(_CLEAN_RECORDS + """ select rec, cast(count(k.rec) as bigint) as n,
@@ -589,8 +589,8 @@ def clean_totals(spark, sf):
 
 _POSTINGS = f"""with {V.SQL_CLEAN_CANDIDATES},
 posted as (
-  select {V.sql_strip('head')} as entity, rec, pos, pos_text, 0 as role, head, rel, tail from kept
-  union all select {V.sql_strip('tail')}, rec, pos, pos_text, 1, head, rel, tail from kept)"""
+  select {V.sql_strip('head')} as entity, rec, pos, 0 as role, head, rel, tail from kept
+  union all select {V.sql_strip('tail')}, rec, pos, 1, head, rel, tail from kept)"""
 
 
 def _posted(spark, sf):
@@ -598,27 +598,26 @@ def _posted(spark, sf):
 
 
 def _posting_columns(rows):
-    return rows.select("entity", "rec", V.pos_text().alias("pos"), big("role"), "head", "rel", "tail")
+    return rows.select("entity", "rec", "pos", big("role"), "head", "rel", "tail")
 
 
-@query(_POSTINGS + " select entity, rec, pos_text as pos, cast(role as bigint) as role, head, rel, tail from posted where entity <> ''")
+@query(_POSTINGS + " select entity, rec, pos, cast(role as bigint) as role, head, rel, tail from posted where entity <> ''")
 def index_postings(spark, sf):
     return _posting_columns(_posted(spark, sf))
 
 
 @query(_POSTINGS + f""" select entity, rec // {index.BLOCK_SPAN} as block, count(*) as n,
-  string_agg(rec || ':' || pos_text || ':' || role || ':' || head || '|' || rel || '|' || tail, ';' order by rec, pos, role, head, rel, tail)
+  string_agg(rec || ':' || pos || ':' || role || ':' || head || '|' || rel || '|' || tail, ';' order by rec, pos, role, head, rel, tail)
     as postings
 from posted where entity <> '' group by 1, 2""")
 def inverted_index(spark, sf):
     blocks = index.inverted_index(_posted(spark, sf), "rec")
-    pos = lambda p: F.concat_ws("/", *[p["pos"][c].cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey", "copy")])
     shown = F.transform("postings", lambda p: F.concat_ws(
-        ":", p["rec"].cast("string"), pos(p), p["role"].cast("string"), F.concat_ws("|", p["head"], p["rel"], p["tail"])))
+        ":", p["rec"].cast("string"), p["pos"].cast("string"), p["role"].cast("string"), F.concat_ws("|", p["head"], p["rel"], p["tail"])))
     return blocks.select("entity", "block", big("n"), F.array_join(shown, ";").alias("postings"))
 
 
-@query(_POSTINGS + """ select entity, rec, pos_text as pos, cast(role as bigint) as role, head, rel, tail
+@query(_POSTINGS + """ select entity, rec, pos, cast(role as bigint) as role, head, rel, tail
 from posted where entity = 'Supplier#000000007'""")
 def index_lookup(spark, sf):
     return _posting_columns(index.lookup(_posted(spark, sf), "Supplier#000000007"))
@@ -658,11 +657,11 @@ def graph_merge_incremental(spark, sf):
 
 
 @query(_GRAPH_ROWS + """, ends as (
-  select distinct pos.s % 2 as batch, unnest([head, tail]) as name from graph_rows where tail is not null)
+  select distinct supp % 2 as batch, unnest([head, tail]) as name from graph_rows where tail is not null)
 select name from ends where batch = 1 and name not in (select name from ends where batch = 0)""")
 def graph_new_nodes(spark, sf):
     rows = _graph_rows(spark, sf)
-    first, second = (graph.graph_nodes(rows.filter(F.col("pos.l_suppkey") % 2 == b)) for b in (0, 1))
+    first, second = (graph.graph_nodes(rows.filter(F.col("supp") % 2 == b)) for b in (0, 1))
     return graph.new_nodes(first, second)
 
 
@@ -751,7 +750,7 @@ def model_to_triplets(spark, sf):
     return rows.select("doc_id", "chunk_index", "t.head", "t.rel", "t.tail", "failed")
 
 
-@query(f"""with {V.SQL_CLEAN_CANDIDATES}, graph_rows as (select rec, pos, pos_text, head, rel, tail from kept),
+@query(f"""with {V.SQL_CLEAN_CANDIDATES}, graph_rows as (select rec, pos, head, rel, tail from kept),
 typed as (select rec, pos, head, rel, tail, {_SANITIZE} as rel_type from {_sanitized('rel')})
 select head, rel_type, tail, arg_max(rel, {{'r': rec, 'p': pos, 'n': rel}}) as rel_name, count(*) as support from typed group by 1, 2, 3""")
 def clean_to_graph(spark, sf):
@@ -761,7 +760,7 @@ def clean_to_graph(spark, sf):
 @query(f"""with recursive {V.SQL_NOISY}, {V.sql_chunks('noisy')}, keyed as (
   select {{'d': doc_id, 'c': chunk_index}} as doc_id, text from chunks),
 {V.sql_tags('keyed', V.LATIN_LEXICON)}, {V.sql_triples('keyed')}, cand as (select doc_id as rec, pos, head, rel, tail from triples),
-{V.sql_judged("cand").replace("{pos_text}", "'' as pos_text,")}, graph_rows as (select rec, pos, pos_text, head, rel, tail from kept),
+{V.sql_judged("cand")}, graph_rows as (select rec, pos, head, rel, tail from kept),
 typed as (select rec, pos, head, rel, tail, {_SANITIZE} as rel_type from {_sanitized('rel')})
 select head, rel_type, tail, arg_max(rel, {{'r': rec, 'p': pos, 'n': rel}}) as rel_name, count(*) as support from typed group by 1, 2, 3""")
 def documents_to_graph(spark, sf):

@@ -46,10 +46,10 @@ def chinese(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """Supplier - relation - part triples with every defect: rec, pos, head, rel, tail."""
+    """Supplier - relation - part triples with every defect: rec, pos, supp, head, rel, tail."""
+    items = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     rows = (
-        read_table(spark, sf, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        spread(items, "l_orderkey")
         .join(read_table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
         .join(read_table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
         .withColumn("k", (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 16)
@@ -64,7 +64,8 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
     )
     return rows.withColumn("copy", copies).select(
         F.col("l_orderkey").alias("rec"),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "copy").alias("pos"),
+        ((F.col("l_linenumber") * F.lit(10**12) + F.col("l_partkey")) * 4 + F.col("copy")).alias("pos"),
+        F.col("l_suppkey").alias("supp"),
         head.alias("head"), rel.alias("rel"), F.when(F.col("k") != 12, F.col("p_name")).alias("tail"),
     )
 
@@ -72,16 +73,12 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
 RELATIONS = ["促进", "推进", "完成", "采用", "计划", "demo", "位于", "规划建设"]
 
 
-def pos_text() -> "F.Column":
-    return F.concat_ws("/", *[F.col(f"pos.{c}").cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey", "copy")])
-
-
 def records_json(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON triple field per event, well-formed or broken in some way: rec, raw, triplets."""
     x = F.col("event_type")
     y = F.concat(F.lit("user "), F.col("user_id").cast("string"))
     raw = F.get(F.array(*[_filled(t, x, y) for t in RECORD_JSON]), (F.col("event_id") % len(RECORD_JSON)).cast("int"))
-    events = read_table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    events = spread(read_table(spark, sf, "events").select("event_id", "event_type", "user_id"), "event_id")
     rows = events.select(F.col("event_id").alias("rec"), raw.alias("raw"))
     return rows.withColumn("triplets", F.parse_json("raw"))
 
@@ -90,7 +87,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
     """One model answer per event, plain or wrapped in some way: rec, response."""
     x, y = F.col("event_type"), F.col("user_id").cast("string")
     raw = F.get(F.array(*[_filled(t, x, y) for t in RESPONSES]), (F.col("event_id") % len(RESPONSES)).cast("int"))
-    events = read_table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    events = spread(read_table(spark, sf, "events").select("event_id", "event_type", "user_id"), "event_id")
     return events.select(F.col("event_id").alias("rec"), raw.alias("response"))
 
 
@@ -225,8 +222,7 @@ SQL_CANDIDATES = f"""base as (
   select l_orderkey as rec, l_linenumber, l_partkey, l_suppkey, s_name, p_name, (l_orderkey * 7 + l_partkey) % 16 as k
   from lineitem join supplier on s_suppkey = l_suppkey join part on p_partkey = l_partkey),
 cand as (
-  select rec, {{'l': l_linenumber, 'p': l_partkey, 's': l_suppkey, 'c': copy}} as pos,
-    concat_ws('/', l_linenumber, l_partkey, l_suppkey, copy) as pos_text,
+  select rec, (l_linenumber * 1000000000000 + l_partkey) * 4 + copy as pos, l_suppkey as supp,
     case k when 0 then p_name when 1 then '' when 2 then 'x' when 3 then '北' when 4 then '！！' else s_name end as head,
     case copy when 1 then '推动' when 2 then '推进' else {sql_list(RELATIONS)}[(k % 8) + 1] end as rel,
     case when k <> 12 then p_name end as tail
@@ -250,10 +246,10 @@ def sql_judged(source: str) -> str:
 laddered as (select *, {SQL_REASON} as reason, {SQL_NORM} as rn from stripped),
 judged as (
   select *, row_number() over (partition by rec, h, rn, t, reason order by pos) as nth from laddered),
-kept as (select rec, pos, {{pos_text}} h as head, rn as rel, t as tail from judged where reason is null and nth = 1)"""
+kept as (select rec, pos, h as head, rn as rel, t as tail from judged where reason is null and nth = 1)"""
 
 
-SQL_CLEAN_CANDIDATES = SQL_CANDIDATES + ",\n" + sql_judged("cand").replace("{pos_text}", "pos_text,")
+SQL_CLEAN_CANDIDATES = SQL_CANDIDATES + ",\n" + sql_judged("cand")
 
 
 def sql_filled(templates, expr: str) -> str:
