@@ -11,23 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 def size_in_bytes(df: DataFrame) -> int | None:
     """Size estimate of the optimized plan, None where it cannot be asked."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except Exception:
         return None
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, per_core: int = 128 << 20) -> DataFrame:
     """Give a small input one task per core; leave a large one alone.
 
     A file of one row group is read by one task. If the whole input is
-    smaller than one split per core, its rows are hashed over the cores;
-    otherwise the scan has enough splits and nothing is shuffled.
+    smaller than one ordinary split (``per_core`` bytes) per core, its rows
+    are hashed over the cores; otherwise the scan has enough splits and
+    nothing is shuffled.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark.sparkContext._jvm.org.apache.spark.sql.internal.SQLConf.get().filesMaxPartitionBytes())
+    cores = df.sparkSession.sparkContext.defaultParallelism
     size = size_in_bytes(df)
-    if size is None or size >= cores * split:
+    if size is None or size >= cores * per_core:
         return df
     return df.repartition(cores, *keys)
 
