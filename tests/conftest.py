@@ -4,7 +4,7 @@ from pathlib import Path
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, f"{ROOT}/tests", os.environ.get("PYTHONPATH")]))
 
 import pytest  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402

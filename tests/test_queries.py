@@ -1,0 +1,30 @@
+"""Every registered query equals its SQL on the smallest tables."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import compare, connect
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(FOLDER)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query(spark, con, name):
+    error, rows, *_ = compare(spark, con, FOLDER, entry.queries()[name], entry.oracle_sql()[name])
+    assert error is None
+    assert rows > 0
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["head", "rel_type", "tail", "rel_name", "support"]

@@ -19,5 +19,16 @@ def order_key(df: DataFrame, *columns: str) -> Column:
         return F.col(columns[0])
     if len(columns) == 2 and all(kinds.get(c) in _INTEGRAL for c in columns):
         high, low = (F.col(c).cast("decimal(19,0)") for c in columns)
-        return (high * F.lit("10000000000000000000").cast("decimal(20,0)") + low).cast("decimal(38,0)")
+        return (high * _unit() + low).cast("decimal(38,0)")
     return F.struct(*columns)
+
+
+def major_part(df: DataFrame, key: Column, *columns: str) -> Column:
+    """The part of a two-column ``order_key`` that ranks by its first column."""
+    kinds = dict(df.dtypes)
+    packed = all(kinds.get(c) in _INTEGRAL for c in columns)
+    return key - key % _unit() if packed else key[columns[0]]
+
+
+def _unit() -> Column:
+    return F.lit("10000000000000000000").cast("decimal(20,0)")

@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from .. import lexicon as L
 from ..functions.json import error_of, triple_items
-from ..functions.order import order_key
+from ..functions.order import major_part, order_key
 from ..functions.relations import has_relation_keyword, is_placeholder, normalize_relation, valid_entity
 from ..functions.text import rows_of, strip
 
@@ -113,7 +113,8 @@ def reason_counts(triples: DataFrame, errors: DataFrame | None = None, rec: str
     # at most one row per reason reaches this window; duplicates are found
     # after, parse errors before all other checks of their record
     late = F.when(F.col("reason") == "dup", 2).when(F.col("reason") == "llm_parse_error", 0).otherwise(1)
-    order = Window.orderBy(F.desc("n"), "first", late)
+    record = major_part(triples, F.col("first"), rec, "pos")
+    order = Window.orderBy(F.desc("n"), record, late, "first")
     return totals.filter("n > 0").select("reason", "n", F.row_number().over(order).alias("rank"))
 
 

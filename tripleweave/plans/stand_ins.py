@@ -17,7 +17,7 @@ def counting_model():
 
 def entity_model():
     """Answers one fenced entity object."""
-    return lambda messages: '```json\n{"Location": ["x"]}\n```\n{"Location": ["x"]}'
+    return lambda messages: '```json\n{"Location": ["x"]}\n```'
 
 
 def triple_model():
