@@ -96,6 +96,10 @@ def test_tagging_ways_agree(spark):
     maps = tagging.explode_entities(tagging.tag_records(df), "rec").select("rec", "category", "entity")
     assert sorted(inline.collect()) == sorted(joined.collect()) == sorted(maps.collect())
     assert {r.rec for r in inline.collect()} == {0, 1, 2, 3, 6}
+    long = spark.createDataFrame([(9, "x😀" * 40 + "规" + "é" * 30 + "划城" + "市" * 70)], "rec int, text string")
+    table = spark.createDataFrame([("A", "规" + "é" * 30 + "划", "span"), ("B", "城市", "end"), ("C", "划城", "mid"), ("D", "规划", "no")],
+                                  "category string, keyword string, entity string")
+    assert {r.entity for r in tagging.tag_by_join(long, table, "rec").collect()} == {"span", "end", "mid"}
     with pytest.raises(ValueError):
         tagging.tag_entities(df, "rec", lexicon=[("c", [str(i) for i in range(300)], "e")])
 

@@ -25,7 +25,10 @@ def is_placeholder(part: Column, words: Sequence[str] = L.PLACEHOLDER_WORDS) ->
 
 def valid_entity(part: Column, singles: Sequence[str] = L.SINGLE_CHAR_ENTITIES) -> Column:
     """Has a letter or digit, and is no single character unless a direction."""
-    s = strip(part)
+    return stripped_entity_valid(strip(part), singles)
+
+
+def stripped_entity_valid(s: Column, singles: Sequence[str] = L.SINGLE_CHAR_ENTITIES) -> Column:
     return ((F.length(s) != 1) | s.isin(list(singles))) & s.rlike(r"[\p{L}\p{N}]")
 
 
@@ -35,7 +38,11 @@ def has_relation_keyword(rel: Column, keywords: Sequence[str] = L.RELATION_KEYWO
 
 def normalize_relation(rel: Column, groups: Sequence[tuple] = L.RELATION_GROUPS) -> Column:
     """Canonical relation of the first group with a hit, else the stripped text."""
-    s = strip(rel)
+    return canonical_relation(strip(rel), groups)
+
+
+def canonical_relation(s: Column, groups: Sequence[tuple] = L.RELATION_GROUPS) -> Column:
+    """``normalize_relation`` of a stripped text."""
     branch = F
     for words, canonical in groups:
         branch = branch.when(contains_any(s, words), F.lit(canonical))

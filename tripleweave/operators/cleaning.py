@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from .. import lexicon as L
 from ..functions.json import error_of, triple_items
 from ..functions.order import major_part, order_key
-from ..functions.relations import has_relation_keyword, is_placeholder, normalize_relation, valid_entity
+from ..functions.relations import canonical_relation, has_relation_keyword, is_placeholder, stripped_entity_valid
 from ..functions.text import rows_of, strip
 
 
@@ -33,7 +33,7 @@ def reason(ok: Column, head: Column, rel: Column, tail: Column) -> Column:
         F.when(~ok, "bad_format")
         .when(is_placeholder(head) | is_placeholder(rel) | is_placeholder(tail), "placeholder")
         .when(head == tail, "head_eq_tail")
-        .when(~(valid_entity(head) & valid_entity(tail)), "invalid_entity")
+        .when(~(stripped_entity_valid(head) & stripped_entity_valid(tail)), "invalid_entity")
         .when(~has_relation_keyword(rel), "rel_no_keyword")
     )
 
@@ -43,7 +43,7 @@ def reason(ok: Column, head: Column, rel: Column, tail: Column) -> Column:
 
 def _stripped(triples: DataFrame) -> DataFrame:
     parts = {c: strip(F.col(c)) for c in ("head", "rel", "tail")}
-    return triples.withColumns(parts).withColumn("rel_norm", normalize_relation(F.col("rel")))
+    return triples.withColumns(parts).withColumn("rel_norm", canonical_relation(F.col("rel")))
 
 
 def _reason_of_columns() -> Column:
@@ -151,7 +151,7 @@ def judge_list(items: Column) -> Column:
         h, r, x = (strip(t[c]) for c in ("head", "rel", "tail"))
         return F.struct(
             reason(t["ok"], h, r, x).alias("reason"),
-            h.alias("head"), normalize_relation(r).alias("rel"), x.alias("tail"),
+            h.alias("head"), canonical_relation(r).alias("rel"), x.alias("tail"),
         )
 
     return F.transform(items, one)

@@ -70,29 +70,51 @@ def tag_entities(chunks: DataFrame, *keys: str, lexicon: Lexicon = L.TAG_LEXICON
 
 
 def lexicon_table(spark: SparkSession, lexicon: Lexicon) -> DataFrame:
-    """Lexicon rows: category, keyword, entity."""
-    rows = [(category, word, name) for category, words, name in lexicon for word in words]
-    return spark.createDataFrame(rows, "category string, keyword string, entity string")
+    """Lexicon rows: category, keyword, entity.
+
+    Built from literals, so that the optimizer knows how small it is; a large
+    lexicon comes from a stored table.
+    """
+    rows = [
+        F.struct(F.lit(category).alias("category"), F.lit(word).alias("keyword"), F.lit(name).alias("entity"))
+        for category, words, name in lexicon
+        for word in words
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def substrings(text: Column, lengths: Sequence[int]) -> Column:
-    """All distinct substrings of the given lengths, in time linear in the text."""
+WINDOW = 64
+
+
+def windows(text: Column, overlap: int) -> Column:
+    """Cut a text into pieces of ``WINDOW`` characters plus the next ``overlap``.
+
+    Linear in the text, and a substring of a piece is found in a few steps
+    however long the text is.
+    """
 
-    def of_length(chars: Column, n: int) -> Column:
-        starts = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - (n - 1)))
-        cut = F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), ""))
-        return F.coalesce(F.array_distinct(cut), F.array().cast("array<string>"))
+    def cut(chars: Column) -> Column:
+        starts = F.when(F.size(chars) > 0, F.sequence(F.lit(1), F.size(chars), F.lit(WINDOW)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(chars, i, WINDOW + overlap), ""))
 
-    return let(F.split(text, ""), lambda chars: F.concat(*[of_length(chars, n) for n in lengths]))
+    return let(F.split(text, ""), cut)
 
 
 def tag_by_join(chunks: DataFrame, lexicon: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     """Tag with a lexicon table (category, keyword, entity) of any size.
 
-    Each text contributes a keyword at most once, so a keyword that occurs in
-    every text costs one row per text; AQE splits such a hot join key. The
-    keyword lengths (a handful of numbers) are looked up once.
+    Every substring of a keyword length becomes a row in front of an equi-join
+    with the lexicon. A lexicon below the broadcast threshold is probed in the
+    scan; a larger one is joined by shuffle, where AQE splits a keyword that
+    occurs everywhere. The keyword lengths (a handful of numbers) are looked
+    up once.
     """
     lengths = sorted(r[0] for r in lexicon.select(F.length("keyword")).distinct().collect())
-    grams = chunks.select(*keys, F.explode(substrings(F.col(text), lengths)).alias("keyword"))
-    return grams.join(lexicon, "keyword").select(*keys, "category", "entity").distinct()
+    if not lengths:
+        return chunks.select(*keys, F.lit("").alias("category"), F.lit("").alias("entity")).limit(0)
+    pieces = chunks.select(*keys, F.explode(windows(F.col(text), lengths[-1] - 1)).alias("_w"))
+    starts = F.sequence(F.lit(1), F.least(F.length("_w"), F.lit(WINDOW)))
+    placed = pieces.select(*keys, "_w", F.explode(starts).alias("_i"))
+    grams = F.array(*[F.substring("_w", F.col("_i"), F.lit(n)) for n in lengths])
+    rows = placed.select(*keys, F.explode(grams).alias("keyword"))
+    return rows.join(lexicon, "keyword").select(*keys, "category", "entity").distinct()
