@@ -170,8 +170,8 @@ def test_index(spark):
     posted = index.postings(df, "rec")
     got = sorted((r.entity, r.rec, r.pos, r.role, r.head) for r in posted.collect())
     assert got == [("a", 1, 0, 0, " a "), ("a", 1, 1, 0, "a"), ("a", 1, 1, 1, "a"), ("a", 5000, 0, 0, "a"), ("b", 1, 0, 1, " a ")]
-    blocks = {(r.entity, r.block): [(p.rec, p.pos, p.role) for p in r.postings] for r in index.inverted_index(posted, "rec").collect()}
-    assert blocks == {("a", 0): [(1, 0, 0), (1, 1, 0), (1, 1, 1)], ("a", 1): [(5000, 0, 0)], ("b", 0): [(1, 0, 1)]}
+    blocks = {(r.entity, *r.block): [(p.rec, p.pos, p.role) for p in r.postings] for r in index.inverted_index(posted, "rec").collect()}
+    assert blocks == {("a", 0, 0): [(1, 0, 0), (1, 1, 0), (1, 1, 1)], ("a", 4, 0): [(5000, 0, 0)], ("b", 0, 0): [(1, 0, 1)]}
     wanted = spark.createDataFrame([("b",)], "entity string")
     assert index.lookup(posted, wanted).count() == index.lookup(posted, "b").count() == 1
     assert index.lookup(posted, ["a", "b"]).count() == 5

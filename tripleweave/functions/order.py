@@ -5,30 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
+_BITS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+_DECIMAL_BITS = 126  # decimal(38) holds a little more than this
+
+
+def _bits(df: DataFrame, columns: tuple[str, ...]) -> list[int] | None:
+    kinds = dict(df.dtypes)
+    bits = [_BITS.get(kinds.get(c)) for c in columns]
+    return bits if None not in bits and sum(bits) <= _DECIMAL_BITS else None
+
+
+def _number(value: int) -> Column:
+    return F.lit(str(value)).cast("decimal(38,0)")
 
 
 def order_key(df: DataFrame, *columns: str) -> Column:
     """One sortable value for non-negative key columns.
 
-    A single column stays as it is and two integral ones become one decimal,
-    which a hash aggregation can hold; a struct would force a sort.
+    Integral columns are put into one decimal, which a hash aggregation can
+    hold; a struct, used for all others, forces a sort.
     """
-    kinds = dict(df.dtypes)
+    bits = _bits(df, columns)
     if len(columns) == 1:
         return F.col(columns[0])
-    if len(columns) == 2 and all(kinds.get(c) in _INTEGRAL for c in columns):
-        high, low = (F.col(c).cast("decimal(19,0)") for c in columns)
-        return (high * _unit() + low).cast("decimal(38,0)")
-    return F.struct(*columns)
+    if bits is None:
+        return F.struct(*columns)
+    key = F.col(columns[0]).cast("decimal(38,0)")
+    for column, width in zip(columns[1:], bits[1:]):
+        key = key * _number(2**width) + F.col(column).cast("decimal(38,0)")
+    return key
 
 
 def major_part(df: DataFrame, key: Column, *columns: str) -> Column:
-    """The part of a two-column ``order_key`` that ranks by its first column."""
-    kinds = dict(df.dtypes)
-    packed = all(kinds.get(c) in _INTEGRAL for c in columns)
-    return key - key % _unit() if packed else key[columns[0]]
-
-
-def _unit() -> Column:
-    return F.lit("10000000000000000000").cast("decimal(20,0)")
+    """The part of an ``order_key`` that ranks by its first column."""
+    bits = _bits(df, columns)
+    return key[columns[0]] if bits is None else key - key % _number(2 ** sum(bits[1:]))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as L
 from ..functions.json import variant_items
+from ..functions.order import order_key
 from ..functions.relations import sanitize_relation
 
 EDGE_KEY = ["head", "rel_type", "tail"]
@@ -32,11 +33,15 @@ def graph_nodes(triples: DataFrame) -> DataFrame:
 def graph_edges(triples: DataFrame, *order: str) -> DataFrame:
     """Distinct edges with the raw relation written last, and their support.
 
-    ``order`` lists the columns that say which row is later.
+    ``order`` lists the columns that say which row is later. Equal triples
+    are merged first, by hash, so that types are made and relations compared
+    for distinct triples only.
     """
-    typed = valid_triples(triples).withColumn("rel_type", sanitize_relation(F.col("rel")))
+    rows = valid_triples(triples).select("head", "rel", "tail", order_key(triples, *order).alias("_last"))
+    distinct = rows.groupBy("head", "rel", "tail").agg(F.max("_last").alias("_last"), F.count("*").alias("_n"))
+    typed = distinct.withColumn("rel_type", sanitize_relation(F.col("rel")))
     return typed.groupBy(*EDGE_KEY).agg(
-        F.max_by("rel", F.struct(*order, "rel")).alias("rel_name"), F.count("*").alias("support")
+        F.max_by("rel", F.struct("_last", "rel")).alias("rel_name"), F.sum("_n").alias("support")
     )
 
 

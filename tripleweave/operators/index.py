@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
-BLOCK_SPAN = 4096
+BLOCK_POSITIONS = 1 << 20
 
 
 def postings(triples: DataFrame, *keys: str) -> DataFrame:
@@ -27,19 +27,22 @@ def postings(triples: DataFrame, *keys: str) -> DataFrame:
     return rows.filter("entity <> ''").select("entity", *keys, "pos", "role", "head", "rel", "tail")
 
 
-def inverted_index(posted: DataFrame, *keys: str, block: Column | None = None) -> DataFrame:
-    """Posting lists per entity, cut into blocks of consecutive records.
+def inverted_index(posted: DataFrame, *keys: str, spans: Sequence[int] | None = None) -> DataFrame:
+    """Posting lists per entity, cut into blocks of bounded size.
 
-    An entity may own a third of all postings, so its list is never built as
-    one value: a block holds the postings of ``BLOCK_SPAN`` consecutive
-    records, and blocks of one entity go to different tasks. Reading the
-    blocks of an entity in order gives its whole list. ``block`` is any
-    expression that rises with the record; the default needs a numeric key.
+    An entity, or an entity within one record, may own a third of all
+    postings, so its list is never built as one value. ``block`` numbers the
+    ranges of the record keys and of the position a posting falls in; each
+    range is ``spans`` wide (by default all equal, so that a block can hold
+    ``BLOCK_POSITIONS`` positions). Blocks of an entity go to different
+    tasks, and together they are its whole list.
     """
-    span = block if block is not None else F.expr(f"{keys[0]} div {BLOCK_SPAN}")
+    columns = [*keys, "pos"]
+    spans = spans or [2 ** (BLOCK_POSITIONS.bit_length() // len(columns))] * len(columns)
+    block = F.array(*[F.expr(f"cast({c} div {n} as bigint)") for c, n in zip(columns, spans)])
     entry = F.struct(*keys, "pos", "role", "head", "rel", "tail")
     return (
-        posted.groupBy("entity", span.alias("block"))
+        posted.groupBy("entity", block.alias("block"))
         .agg(F.sort_array(F.collect_list(entry)).alias("postings"))
         .select("entity", "block", F.size("postings").alias("n"), "postings")
     )

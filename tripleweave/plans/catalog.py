@@ -593,6 +593,10 @@ posted as (
   union all select {V.sql_strip('tail')}, rec, pos, 1, head, rel, tail from kept)"""
 
 
+# positions of the candidates start with the line and part number
+_SPANS = [1024, 4 * 10**9]
+
+
 def _posted(spark, sf):
     return index.postings(cleaning.clean_triples(V.candidates(spark, sf)), "rec")
 
@@ -606,15 +610,16 @@ def index_postings(spark, sf):
     return _posting_columns(_posted(spark, sf))
 
 
-@query(_POSTINGS + f""" select entity, rec // {index.BLOCK_SPAN} as block, count(*) as n,
+@query(_POSTINGS + f""" select entity, rec // {_SPANS[0]} as block, pos // {_SPANS[1]} as part, count(*) as n,
   string_agg(rec || ':' || pos || ':' || role || ':' || head || '|' || rel || '|' || tail, ';' order by rec, pos, role, head, rel, tail)
     as postings
-from posted where entity <> '' group by 1, 2""")
+from posted where entity <> '' group by 1, 2, 3""")
 def inverted_index(spark, sf):
-    blocks = index.inverted_index(_posted(spark, sf), "rec")
+    blocks = index.inverted_index(_posted(spark, sf), "rec", spans=_SPANS)
     shown = F.transform("postings", lambda p: F.concat_ws(
         ":", p["rec"].cast("string"), p["pos"].cast("string"), p["role"].cast("string"), F.concat_ws("|", p["head"], p["rel"], p["tail"])))
-    return blocks.select("entity", "block", big("n"), F.array_join(shown, ";").alias("postings"))
+    block, part = (F.get("block", F.lit(i)).alias(c) for i, c in enumerate(("block", "part")))
+    return blocks.select("entity", block, part, big("n"), F.array_join(shown, ";").alias("postings"))
 
 
 @query(_POSTINGS + """ select entity, rec, pos, cast(role as bigint) as role, head, rel, tail
