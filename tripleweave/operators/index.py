@@ -61,6 +61,11 @@ def with_text(posted: DataFrame, records: DataFrame, *keys: str, text: str = "te
     return posted.join(records.select(*keys, text), list(keys))
 
 
-def write_index(posted: DataFrame, table: str, buckets: int = 64) -> None:
-    """Store postings bucketed and sorted by entity: a lookup reads one bucket."""
-    posted.write.mode("overwrite").bucketBy(buckets, "entity").sortBy("entity").saveAsTable(table)
+def write_index(posted: DataFrame, table: str, buckets: int = 64, path: str | None = None) -> None:
+    """Store postings bucketed and sorted by entity: a lookup reads one bucket.
+
+    An entity with a large share of all postings fills its bucket; the rows of
+    a bucket are written by as many tasks as hold them, so nothing is gathered.
+    """
+    writer = posted.write.mode("overwrite").bucketBy(buckets, "entity").sortBy("entity")
+    (writer.option("path", path) if path else writer).saveAsTable(table)

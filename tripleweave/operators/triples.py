@@ -7,8 +7,6 @@ testing and repairing triples never leaves the row. The long forms
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
