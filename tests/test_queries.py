@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from tripleweave.plans.catalog import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +17,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) & set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     error, rows, *_ = compare(spark, con, FOLDER, entry.queries()[name], entry.oracle_sql()[name])
     assert error is None
