@@ -5,13 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup
+from . import bpe, decontaminate, exact_dedup, language_mixture
 from .common import table
 
+#: Vocabulary of op8, by its public names.
+VOCABULARY = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary_files() -> list[str]:
+    import public_tokenizers
+
+    return [public_tokenizers.path(name) for name in VOCABULARY]
+
+
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_item",
@@ -22,7 +32,16 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_decontaminate, op6_exact_dedup)}
+def op7_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    out = language_mixture.language_mixture(table(spark, sf, "documents"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", F.transform("languages", lambda x: x["lang"]).alias("languages"))
+
+
+def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.bpe(table(spark, sf, "documents"), *vocabulary_files()).drop("ids")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_decontaminate, op6_exact_dedup, op7_language_mixture, op8_bpe)}
 
 SQL: dict[str, str] = {
     "op6_exact_dedup": """
