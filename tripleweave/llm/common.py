@@ -85,7 +85,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Powers:
     """Powers of an odd multiplier and of its inverse, modulo 2^64, and a random number per byte value."""
 
-    def __init__(self, size: int = BLOCK + 1, base: int = 0x9E3779B97F4A7C15):
+    def __init__(self, size: int = BLOCK + 257, base: int = 0x9E3779B97F4A7C15):
         self.base = base
         self.up = np.full(size, base, np.uint64)
         self.up[0] = 1

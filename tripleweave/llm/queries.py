@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_mixture
+from . import bpe, decontaminate, exact_dedup, language_mixture, toxicity
 from .common import table
 
 #: Vocabulary of op8, by its public names.
@@ -41,7 +41,11 @@ def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.bpe(table(spark, sf, "documents"), *vocabulary_files()).drop("ids")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_decontaminate, op6_exact_dedup, op7_language_mixture, op8_bpe)}
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_decontaminate, op6_exact_dedup, op7_language_mixture, op8_bpe, op10_toxicity)}
 
 SQL: dict[str, str] = {
     "op6_exact_dedup": """
