@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_mixture, toxicity
+from . import bpe, decontaminate, exact_dedup, language_mixture, minhash_dedup, toxicity
 from .common import table
 
 #: Vocabulary of op8, by its public names.
@@ -22,6 +22,10 @@ def vocabulary_files() -> list[str]:
     return [public_tokenizers.path(name) for name in VOCABULARY]
 
 
+def op2_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_item",
@@ -45,7 +49,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_decontaminate, op6_exact_dedup, op7_language_mixture, op8_bpe, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_dedup, op3_decontaminate, op6_exact_dedup, op7_language_mixture, op8_bpe, op10_toxicity)}
 
 SQL: dict[str, str] = {
     "op6_exact_dedup": """
