@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_mixture, minhash_dedup, toxicity
+from . import bpe, decontaminate, exact_dedup, language_mixture, minhash_dedup, suffix_dedup, toxicity
 from .common import table
 
 #: Vocabulary of op8, by its public names.
@@ -45,11 +45,15 @@ def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.bpe(table(spark, sf, "documents"), *vocabulary_files()).drop("ids")
 
 
+def op9_suffix_index(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_dedup, op3_decontaminate, op6_exact_dedup, op7_language_mixture, op8_bpe, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_dedup, op3_decontaminate, op6_exact_dedup, op7_language_mixture, op8_bpe, op9_suffix_index, op10_toxicity)}
 
 SQL: dict[str, str] = {
     "op6_exact_dedup": """
