@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_mixture, minhash_dedup, suffix_dedup, toxicity
+from . import bpe, decontaminate, exact_dedup, html_extract, language_mixture, minhash_dedup, suffix_dedup, toxicity
 from .common import table
 
 #: Vocabulary of op8, by its public names.
@@ -32,6 +32,10 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
@@ -53,7 +57,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_dedup, op3_decontaminate, op6_exact_dedup, op7_language_mixture, op8_bpe, op9_suffix_index, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_dedup, op3_decontaminate, op4_html_extract, op6_exact_dedup, op7_language_mixture, op8_bpe, op9_suffix_index, op10_toxicity)}
 
 SQL: dict[str, str] = {
     "op6_exact_dedup": """
