@@ -270,7 +270,8 @@ def near_duplicates(
     )
     sizes = member.groupBy("cluster").agg(F.sum("n_shingles").alias("size"))
     dealt = in_blocks(member.join(sizes, "cluster"), "rep", F.col("size"), cluster_shingles).select("cluster", "i", "j", "rep", "s1")
-    texts = dealt.join(rows.where("doc_id is not null"), dealt["rep"] == rows["doc_id"]).select("cluster", "i", "j", "rep", "s1", "text")
+    # a merge join at every size: the texts cross the network once, whatever share of them is asked for
+    texts = dealt.hint("merge").join(rows.where("doc_id is not null"), dealt["rep"] == rows["doc_id"]).select("cluster", "i", "j", "rep", "s1", "text")
     links = texts.repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "rep").mapInArrow(
         verified(words, percent), "a long, b long"
     )
