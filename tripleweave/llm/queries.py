@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, html_extract, language_mixture, minhash_dedup, suffix_dedup, toxicity
+from . import bpe, chain_dedup, chat_format, decontaminate, exact_dedup, html_extract, language_mixture, minhash_dedup, suffix_dedup, toxicity
 from .common import table
 
 #: Vocabulary of op8, by its public names.
@@ -22,6 +22,13 @@ def vocabulary_files() -> list[str]:
     return [public_tokenizers.path(name) for name in VOCABULARY]
 
 
+def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    shown = chat_format.perspectives(table(spark, sf, "conversations"))
+    return shown.select(
+        "conv_id", "perspective", "part", "text", chat_format.mask_text().alias("trained"), "n_turns", "n_trained", "trained_chars"
+    )
+
+
 def op2_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf, "documents"))
 
@@ -36,6 +43,10 @@ def op4_html_extract(spark: SparkSession, sf: str) -> DataFrame:
     return html_extract.extract(table(spark, sf, "pages"))
 
 
+def op5_chain_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return chain_dedup.shared_passages(table(spark, sf, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
@@ -57,9 +68,41 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_dedup, op3_decontaminate, op4_html_extract, op6_exact_dedup, op7_language_mixture, op8_bpe, op9_suffix_index, op10_toxicity)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_chat_format, op2_minhash_dedup, op3_decontaminate, op4_html_extract, op5_chain_dedup, op6_exact_dedup, op7_language_mixture,
+        op8_bpe, op9_suffix_index, op10_toxicity,
+    )
+}
 
 SQL: dict[str, str] = {
+    "op1_chat_format": r"""
+with t as (
+  select distinct conv_id, cast(coalesce(floor(turn / 1024), 0) as bigint) as part, turn, coalesce(role, '') as speaker, coalesce(text, '') as content
+  from conversations
+), p as (
+  select distinct conv_id, role as perspective from conversations where role is not null and role not in ('', 'system')
+), s as (
+  select t.conv_id, p.perspective, t.part, t.turn, t.speaker, t.content,
+    case when speaker = 'system' then 'system' when speaker = perspective then 'assistant' else 'user' end as role,
+    replace(replace(content, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') as body
+  from t join p on t.conv_id is not distinct from p.conv_id
+), h as (
+  select *, '<|im_start|>' || role || case when role = 'user'
+    then ' name=' || coalesce(nullif(regexp_replace(speaker, '[^\p{L}\p{N}_.-]', '_', 'g'), ''), 'unknown') else '' end || chr(10) as head
+  from s
+), w as (
+  select *, coalesce(sum(length(head) + length(body) + 11) over (
+    partition by conv_id, perspective, part order by turn nulls first, speaker, content rows between unbounded preceding and 1 preceding), 0) + length(head) as start
+  from h
+)
+select conv_id, perspective, part, string_agg(head || body || '<|im_end|>' || chr(10), '' order by turn nulls first, speaker, content) as text,
+  coalesce(string_agg(start || '-' || (start + length(body) + 10), ',' order by turn nulls first, speaker, content) filter (role = 'assistant'), '') as trained,
+  count(*) as n_turns, count(*) filter (role = 'assistant') as n_trained,
+  cast(coalesce(sum(length(body) + 10) filter (role = 'assistant'), 0) as bigint) as trained_chars
+from w group by all
+""",
     "op6_exact_dedup": """
 with g as (
   select sha256(coalesce(text, '')) as text_sha256, max(doc_id) as keep_id, count(*) as group_size from documents group by 1
