@@ -24,12 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the folder of spark.checkpoint.dir and read it back; cuts lineage."""
+    """Write ``df`` as a table in the folder of spark.checkpoint.dir and read it back; cuts lineage.
+
+    Where neither that setting nor a checkpoint folder is given, the table goes
+    to the warehouse, which the driver and all executors share as well.
+    """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or spark.conf.get('spark.sql.warehouse.dir') + '/stages'}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
