@@ -97,7 +97,7 @@ def brute_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize("group", [1000, 1])
+@pytest.mark.parametrize("group", [8192, 1])
 def test_repeats(docs, texts, stored, group):
     few = [x for x in texts if not x[1] or len(x[1]) < 20_000]
     df = stored(docs.where("text is null or length(text) < 20000"))
@@ -120,7 +120,7 @@ def test_sampled_windows_are_whole_across_blocks(monkeypatch):
     covered = np.zeros(len(data), int)
     for _, _, at, first, last in suffix_dedup.sampled(data, 200):
         for a, f, x in zip(at, first, last):
-            assert f <= x <= a and a + suffix_dedup.PREFIX <= f + 200
+            assert f <= x <= a and a + suffix_dedup.prefix_length(200) <= f + 200
             covered[f : x + 1] += 1
     assert (covered[: len(data) - 199] >= 1).all() and not covered[len(data) - 199 :].any()
 

@@ -12,31 +12,43 @@ from pyspark.sql import functions as F
 
 from .common import BLOCK, mixed, partitions_of, powers, ranges, runs, stage, text_bytes
 
-#: Bytes of a suffix that make its key: four of them in order, all of them as a fingerprint.
-PREFIX = 32
+#: Bytes whose fingerprint chooses the sampled places.
+PRINT = 32
 ENTRY = "key long, kind long, row long, at int, back int, upto int"
 CONTEXT = "key long, salt int, salts int, row long, doc_id long, first int, lead int, count int, piece binary"
 FOUND = "row long, start int, stop int, id long"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
+def prefix_length(length: int) -> int:
+    """Bytes of a suffix that make its key: its first four in order, all of them as a fingerprint.
+
+    Every window around a chosen place covers so many bytes from the place on,
+    or so many that end with the place's fingerprint.
+    """
+    return (length + PRINT) // 2
+
+
 def sampled(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Sampled suffixes of one text: key, kind, place, first and last start of the windows that each one stands for.
 
-    A window of ``length`` bytes is represented by the smallest fingerprint
-    that lies wholly in it, the leftmost of equals. So equal windows are
-    represented by equal suffixes at equal offsets, and one suffix in about
-    85 stands for all. ``kind`` identifies all bytes of the windows together.
+    A window of ``length`` bytes chooses the place of the smallest fingerprint
+    that lies wholly in it, the leftmost of equals. It is represented by the
+    suffix there, or, where its larger part stands before, by the suffix that
+    begins as much earlier as fits. So equal windows are represented by equal
+    suffixes at equal offsets, a few suffixes in a hundred stand for all, and
+    a key tells more than half of a window. ``kind`` identifies all bytes of
+    the windows together.
     """
     p = powers()
-    span = length - PREFIX + 1
+    span, reach = length - PRINT + 1, prefix_length(length)
     for begin in range(0, max(0, len(data) - length + 1), BLOCK - length):
         part = data[begin : begin + BLOCK]
         if len(part) < length:
             break
         s = p.sums(part)
-        m = len(part) - PREFIX + 1
-        print_ = mixed((s[PREFIX:] - s[:m]) * p.down[:m])
+        m = len(part) - PRINT + 1
+        print_ = mixed((s[PRINT:] - s[:m]) * p.down[:m])
         packed = (print_ & np.uint64(0xFFFFFFFFFF000000)) | np.arange(m, dtype=np.uint64)
         # minimum of every ``span`` neighbours: suffix and prefix minima of blocks of that size
         blocks = np.full(-(-m // span) * span, np.iinfo(np.uint64).max, np.uint64)
@@ -49,9 +61,17 @@ def sampled(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         place = (least & np.uint64(0xFFFFFF)).astype(np.int64)
         cut = runs(place)
         at, first, last = place[cut[:-1]], cut[:-1], cut[1:] - 1
+        # windows that reach ``reach`` bytes from the place on, and those that begin earlier
+        turn = at - (length - reach)
+        right, left = last >= turn, first < turn
+        at, first, last = (
+            np.concatenate((at[right], turn[left])), np.concatenate((np.maximum(first, turn)[right], first[left])),
+            np.concatenate((last[right], np.minimum(last, turn - 1)[left])),
+        )
         four = part[at[:, None] + np.arange(4)].astype(np.uint64)
         lead = four[:, 0] << np.uint64(56) | four[:, 1] << np.uint64(48) | four[:, 2] << np.uint64(40) | four[:, 3] << np.uint64(32)
-        key = (lead | print_[at] >> np.uint64(32)) ^ np.uint64(1 << 63)  # signed numbers in the order of the bytes
+        whole = mixed((s[at + reach] - s[at]) * p.down[at])
+        key = (lead | whole >> np.uint64(32)) ^ np.uint64(1 << 63)  # signed numbers in the order of the bytes
         whole = (s[last + length] - s[first]) * p.down[first]
         kind = mixed(whole + mixed((at - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)))
         yield key.view(np.int64), kind.view(np.int64), at + begin, first + begin, last + begin
@@ -244,7 +264,7 @@ def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, batches: int = 4, group: int = 1000,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, batches: int = 4, group: int = 8192,
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay).
 
@@ -255,8 +275,8 @@ def remove_repeats(
     ``length`` long. Shorter texts stay. An empty table gives no rows; the
     input must be a table, whose rows come in the same order each time.
 
-    One suffix in about 85 is kept in the index family, chosen by content so
-    that equal strings choose alike. Suffixes with a key that the family met
+    Two suffixes in about 85 are kept in the index family, chosen by content
+    so that equal strings choose alike. Suffixes with a key that the family met
     more than once are gathered; those that share all bytes of their windows
     with another are decided by counting. One of each such kind, and all
     others, are compared window by window within their key. Keys of more than
