@@ -16,7 +16,7 @@ from .common import A_TO_Z, BLOCK, in_bucket, mixed, powers, runs, shards, text_
 PREFIXES = tuple(range(3, 11))
 LOOK = 64
 BITS = 20
-FEATURES = "toxic boolean, features array<int>"
+FEATURES = "id long, toxic boolean, features array<int>"
 MODEL = "feature int, weight double"
 
 LETTER = np.zeros(256, bool)
@@ -67,7 +67,9 @@ def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = [b for _, b in stems(data, bounds)]
             first, again = once_and_again(np.concatenate(found) if found else np.zeros(0, np.int64))
             seen = np.concatenate((first, again + (1 << BITS))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([one.column("toxic"), pa.array([seen], pa.list_(pa.int32()))], names=["toxic", "features"])
+            yield pa.RecordBatch.from_arrays(
+                [one.column("_id"), one.column("toxic"), pa.array([seen], pa.list_(pa.int32()))], names=["id", "toxic", "features"]
+            )
 
 
 class Adam:
@@ -109,37 +111,44 @@ def train_nnpu(positive: np.ndarray, index: np.ndarray, starts: np.ndarray, size
 
 
 def trainer(prior: float, chosen: int, evidence: float, purity: float, steps: int, decay: float, rate: float):
-    """mapInArrow function over the bounded sample, in one task: rows of the model; feature -1 is the bias."""
+    """mapInArrow function over the bounded sample, in one task: rows of the model; feature -1 is the bias.
+
+    Toxic rows come first. Only what at least three of them have can become a
+    feature, so nothing else is kept of the unlabelled rows behind them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, lists = [], []
+        seen = {True: np.zeros(2 << BITS, np.int32), False: np.zeros(2 << BITS, np.int32)}
+        held: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        known = None
         for batch in batches:
-            marks += batch.column("toxic").to_pylist()
-            lists += [np.asarray(x.values) for x in batch.column("features")]
-        order = sorted(range(len(lists)), key=lambda i: (marks[i], len(lists[i]), lists[i].tobytes()))
-        positive = np.array([marks[i] for i in order], bool)
-        sizes = np.array([len(lists[i]) for i in order], np.int64)
-        flat = np.concatenate([lists[i] for i in order]) if order else np.zeros(0, np.int32)
-        bias, buckets, weights = np.log(prior / (1 - prior)), np.zeros(0, np.int64), np.zeros(0)
-        if positive.any() and not positive.all():
-            mark = np.repeat(positive, sizes)
-            p = np.bincount(flat[mark], minlength=2 << BITS) / positive.sum()
-            u = np.bincount(flat[~mark], minlength=2 << BITS) / (~positive).sum()
+            for toxic, row in zip(batch.column("toxic").to_pylist(), batch.column("features")):
+                own = row.values.to_numpy()
+                if not toxic:
+                    if known is None:
+                        known = seen[True] >= 3
+                        held[True] = [x[known[x]] for x in held[True]]
+                    own = own[known[own]]
+                seen[toxic][own] += 1
+                held[toxic].append(np.array(own))
+        n_p, n_u = len(held[True]), len(held[False])
+        bias, features_, weights = np.log(prior / (1 - prior)), np.zeros(0, np.int64), np.zeros(0)
+        if n_p and n_u:
             # log-likelihood ratio of the counts among the positives against the unlabelled rate
-            known, expected = p * positive.sum(), (u + 0.5 / (~positive).sum()) * positive.sum()
-            lift = 2 * (known * np.log(np.maximum(known, 1e-9) / expected) - known + expected)
-            lift[(prior * known < purity * expected) | (lift < evidence)] = 0
-            buckets = np.sort(np.argsort(-lift, kind="stable")[:chosen])
-            buckets = buckets[lift[buckets] > 0]
+            among, expected = seen[True].astype(float), (seen[False] + 0.5) * (n_p / n_u)
+            lift = 2 * (among * np.log(np.maximum(among, 1e-9) / expected) - among + expected)
+            lift[(prior * among < purity * expected) | (lift < evidence) | ~known] = 0
+            features_ = np.sort(np.argsort(-lift, kind="stable")[:chosen])
+            features_ = features_[lift[features_] > 0]
             place = np.full(2 << BITS, -1, np.int32)
-            place[buckets] = np.arange(len(buckets))
-            index = place[flat]
-            row = np.repeat(np.arange(len(sizes)), sizes)[index >= 0]
-            index = index[index >= 0]
-            starts = np.searchsorted(row, np.arange(len(sizes) + 1))
-            weights, bias = train_nnpu(positive, index, starts, len(buckets), prior, steps, decay, rate)
+            place[features_] = np.arange(len(features_))
+            index = [place[x] for x in held[True] + held[False]]
+            index = [x[x >= 0] for x in index]
+            starts = np.concatenate(([0], np.cumsum([len(x) for x in index])))
+            positive = np.arange(n_p + n_u) < n_p
+            weights, bias = train_nnpu(positive, np.concatenate(index), starts, len(features_), prior, steps, decay, rate)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(buckets, -1), pa.int32()), pa.array(np.append(weights, bias), pa.float64())], names=["feature", "weight"]
+            [pa.array(np.append(features_, -1), pa.int32()), pa.array(np.append(weights, bias), pa.float64())], names=["feature", "weight"]
         )
 
     return run
@@ -168,9 +177,9 @@ def fit(
     ids = toxic.withColumn("toxic", F.lit(True)).unionByName(other.withColumn("toxic", F.lit(False)))
     # at most positives + unlabelled rows of 9 bytes
     sample = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(ids), "_id")
-    rows = sample.select("toxic", "text").mapInArrow(features, FEATURES).repartition(1).mapInArrow(
-        trainer(prior, chosen, evidence, purity, steps, decay, rate), MODEL
-    ).collect()
+    found = sample.select("_id", "toxic", "text").mapInArrow(features, FEATURES)
+    ordered = found.repartition(1).sortWithinPartitions(F.desc("toxic"), "id")
+    rows = ordered.mapInArrow(trainer(prior, chosen, evidence, purity, steps, decay, rate), MODEL).collect()
     bias = next((r["weight"] for r in rows if r["feature"] == -1), float(np.log(prior / (1 - prior))))
     kept = sorted((r["feature"], r["weight"]) for r in rows if r["feature"] >= 0)
     return np.array([b for b, _ in kept], np.int64), np.array([w for _, w in kept], float), bias
