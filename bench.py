@@ -42,6 +42,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("tripleweave.input.partitions", cpus)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

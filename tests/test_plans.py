@@ -5,9 +5,8 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
-from tripleweave.operators import cleaning, graph, index, stats, tagging
-from tripleweave.plans import flows
-from tripleweave.sources import storage
+from tripleweave.operators import chunking, cleaning, graph, index, stats, tagging
+from tripleweave.plans import catalog, flows
 from tripleweave.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -69,24 +68,33 @@ def test_preview_lists_take_top_rows_only(spark, tmp_path):
     assert "TakeOrderedAndProject" in plan(stats.top_relations(stored_triples(spark, tmp_path), "rec", "pos"))
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    docs = documents(spark)
-    assert "Exchange" in tree(storage.spread(docs, "doc_id"))
-    assert storage.spread(docs, "doc_id", per_core=1) is docs
+def test_registered_plans_do_not_spread_their_input(spark):
+    for name in ("chunk_documents", "tag_entities", "clean_records", "graph_edges"):
+        assert "REPARTITION_BY_NUM" not in plan(catalog.QUERIES[name](spark, SF))
 
 
-def test_bucketed_index_keeps_an_entity_in_one_file(spark, tmp_path):
+def test_numbering_moves_keys_not_texts(spark):
+    text = plan(chunking.numbered_chunks(documents(spark).select("doc_id", "text"), "doc_id"))
+    for part in text.split("\n\n"):
+        if "Exchange" in part.split("\n")[0] and "Arguments: hashpartitioning" in part:
+            assert "text#" not in part
+
+
+def test_index_files_are_bounded_and_sorted(spark, tmp_path):
     posted = index.postings(stored_triples(spark, tmp_path), "rec")
-    index.write_index(posted.coalesce(1), "tripleweave_postings", buckets=8, path=str(tmp_path / "index"))
+    index.write_index(posted, "tripleweave_postings", files=8, path=str(tmp_path / "index"))
     try:
         found = index.lookup(spark.table("tripleweave_postings"), "s7")
         assert "EqualTo(entity,s7)" in plan(found)
-        assert found.select(F.input_file_name()).distinct().count() == 1 < len(list((tmp_path / "index").glob("*.parquet")))
+        files = len(list((tmp_path / "index").glob("*.parquet")))
+        assert found.select(F.input_file_name()).distinct().count() <= 2 < files <= 8
         assert found.count() == posted.filter(F.col("entity") == "s7").count() > 0
     finally:
         spark.sql("drop table tripleweave_postings")
 
 
-def test_lexicon_table_is_known_to_be_small(spark):
-    words = tagging.lexicon_table(spark, [("c", ["ing"], "e")])
-    assert "BroadcastHashJoin" in tree(tagging.tag_by_join(documents(spark), words, "doc_id"))
+def test_lexicon_search_moves_no_text(spark):
+    words = tagging.lexicon_table(spark, [("c", ["ing"], "e"), ("c", ["the"], "f")])
+    assert "Exchange" not in tree(tagging.tag_by_join(documents(spark), words, "doc_id"))
+    parts = tree(tagging.tag_by_join(documents(spark), words, "doc_id", part_keywords=1))
+    assert "Join" not in parts and parts.index("Exchange") < parts.index("Generate")

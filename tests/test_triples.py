@@ -1,6 +1,7 @@
 """Cleaning, rules, hub, syntax, index and graph on golden rows."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from tripleweave import lexicon as L
 from tripleweave.functions import relations as R
 from tripleweave.functions.prompts import core_prompt
-from tripleweave.operators import cleaning, graph, index, stats, syntax, tagging, triples
+from tripleweave.functions import text as X
+from tripleweave.operators import chunking, cleaning, graph, index, inference, stats, syntax, tagging, triples
 from tripleweave.plans import flows, stand_ins
 from tripleweave.sources import storage, tables
 from tripleweave.streaming.graph_stream import import_stream
@@ -100,8 +102,21 @@ def test_tagging_ways_agree(spark):
     table = spark.createDataFrame([("A", "规" + "é" * 30 + "划", "span"), ("B", "城市", "end"), ("C", "划城", "mid"), ("D", "规划", "no")],
                                   "category string, keyword string, entity string")
     assert {r.entity for r in tagging.tag_by_join(long, table, "rec").collect()} == {"span", "end", "mid"}
-    with pytest.raises(ValueError):
-        tagging.tag_entities(df, "rec", lexicon=[("c", [str(i) for i in range(300)], "e")])
+
+
+def test_a_long_lexicon_gives_the_same_in_every_form(spark):
+    texts = ["k17 and k9999, k5", "", None, "nothing", "k1234k77", "k0" * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    lexicon = [("Concept", [f"k{i}", f"q{i}"], f"e{i}") for i in range(5000)] + [("Location", ["k17"], "place"), ("Location", [""], "all")]
+    inline = [("Concept", f"e{i}", r) for r, t in enumerate(texts) for i in range(5000) if t and f"k{i}" in t]
+    inline += [("Location", n, r) for r, t in enumerate(texts) if t is not None for n, w in (("place", "k17"), ("all", "")) if w in t]
+    rows = lambda d: sorted((r.category, r.entity, r.doc_id) for r in d.collect())
+    assert rows(tagging.tag_entities(df, "doc_id", lexicon=lexicon)) == sorted(inline)
+    table = spark.createDataFrame([(c, w, e) for c, words, e in lexicon for w in words], "category string, keyword string, entity string")
+    for part in (100_000, 900):
+        assert rows(tagging.tag_by_join(df, table, "doc_id", part_keywords=part)) == sorted(inline)
+    records = flows.rule_records(df.where("length(text) > 0"), "doc_id", lexicon=lexicon)
+    assert rows(tagging.explode_entities(records, "doc_id")) == sorted(x for x in inline if texts[x[2]])
 
 
 def test_rules(spark):
@@ -170,8 +185,9 @@ def test_index(spark):
     posted = index.postings(df, "rec")
     got = sorted((r.entity, r.rec, r.pos, r.role, r.head) for r in posted.collect())
     assert got == [("a", 1, 0, 0, " a "), ("a", 1, 1, 0, "a"), ("a", 1, 1, 1, "a"), ("a", 5000, 0, 0, "a"), ("b", 1, 0, 1, " a ")]
-    blocks = {(r.entity, *r.block): [(p.rec, p.pos, p.role) for p in r.postings] for r in index.inverted_index(posted, "rec").collect()}
-    assert blocks == {("a", 0, 0): [(1, 0, 0), (1, 1, 0), (1, 1, 1)], ("a", 4, 0): [(5000, 0, 0)], ("b", 0, 0): [(1, 0, 1)]}
+    found = index.inverted_index(posted, "rec", most=3).collect()
+    blocks = {(r.entity, r.block): [(p.rec, p.pos, p.role) for p in r.postings] for r in found}
+    assert blocks == {("a", 0): [(1, 0, 0), (1, 1, 0), (1, 1, 1)], ("a", 1): [(5000, 0, 0)], ("b", 0): [(1, 0, 1)]}
     wanted = spark.createDataFrame([("b",)], "entity string")
     assert index.lookup(posted, wanted).count() == index.lookup(posted, "b").count() == 1
     assert index.lookup(posted, ["a", "b"]).count() == 5
@@ -271,7 +287,7 @@ def test_lenient_model_flow_links_to_the_hub(spark):
     records = flows.model_records(
         docs, "doc_id", ner=stand_ins.entity_model, extract=stand_ins.triple_model, mode="lenient", style="entities", tries=1, wait=0.0
     )
-    got = {r.doc_id: [tuple(t) for t in r.triplets] for r in flows.link_model_records(records).collect()}
+    got = {r.doc_id: [tuple(t) for t in r.triplets] for r in records.collect()}
     assert got == {1: [("政府", "推进", "建设"), ("x", "相关于", "本土设计")], 3: [("x", "相关于", "本土设计")]}
 
 
@@ -279,3 +295,146 @@ def test_rule_flow_with_syntax(spark):
     docs = spark.createDataFrame([(1, "城市北部规划 建设产业园区。")], "doc_id int, text string")
     rec = flows.rule_records(docs, "doc_id", parser=syntax.whitespace_tagger).first()
     assert rec.syntax.dep.startswith("城市北部规划(ROOT) -> ") and len(rec.triplets) == 3
+
+
+def test_one_record_of_very_many_triples(spark):
+    """Distinct triples of one record are found by hash: ten times the list is not a hundred times the work."""
+    import time
+
+    def taken(n):
+        df = spark.range(1).selectExpr(
+            f"transform(sequence(1, {n}), i -> struct(concat('h', i % 1000, 'a') as head, '推进' as rel, concat(' t', i) as tail)) as triplets"
+        )
+        start = time.perf_counter()
+        assert cleaning.clean_lists(df).selectExpr("size(triplets)").first()[0] == n
+        return time.perf_counter() - start
+
+    taken(1000)
+    assert taken(200_000) < 30
+
+
+def test_one_document_of_very_many_chunks(spark):
+    sizes = spark.range(1).selectExpr("transform(sequence(1, 300000), i -> cast(1 + i % 400 as int)) as sizes")
+    starts = sizes.select(X.chunk_starts(F.col("sizes")).alias("s")).first().s
+    want, used = [], 513
+    for i in range(1, 300_001):
+        size = 1 + i % 400
+        if used + size > 512:
+            want.append(i)
+            used = 0
+        used += size
+    assert starts == want and len(want) > 100_000
+
+
+def test_error_objects_are_told_by_their_key(spark):
+    raw = ['{"error": null, "raw": "x"}', '{"error": "e"}', '{"error": {"a": 1}}', '{"other": 1}', '[["a","位于"],["b"],["c","推进","d"]]', "null"]
+    df = spark.createDataFrame(list(enumerate(raw)), "rec int, raw string").select("rec", F.parse_json("raw").alias("triplets"))
+    assert {r.rec: r.error for r in cleaning.parse_errors(df, "rec").collect()} == {0: None, 1: "e", 2: '{"a":1}'}
+    removed = {r.rec: r.removed for r in cleaning.clean_records(df).collect()}
+    assert removed[0] == removed[1] == removed[2] == {"llm_parse_error": 1} and removed[3] == {"bad_format": 1}
+    assert [(r.rec, r.pos, r.rel) for r in stats.relation_list(df, "rec").orderBy("pos").collect()] == [(4, 0, "位于"), (4, 2, "推进")]
+
+
+def test_failed_entities_stay_and_are_shown_to_the_second_call(spark):
+    docs = spark.createDataFrame([(1, "城市北部规划。")], "doc_id int, text string")
+
+    def ner():
+        return lambda messages: "no json"
+
+    def echo():
+        return lambda messages: json.dumps([["a", "推进", messages[-1]["content"]]])
+
+    rec = flows.model_records(docs, "doc_id", ner=ner, extract=echo, style="entities", tries=1, wait=0.0).first()
+    assert rec.entities is None and rec.entities_error and rec.entities_raw == "no json" and rec.error is None
+    content = json.loads(str(rec.triplets))[0][2]
+    assert '"error": "no JSON in the response", "raw": "no json"' in content and "城市北部" in content
+
+
+def test_a_named_run_asks_no_model_twice(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"城市北部规划 {i}。") for i in range(6)], "doc_id int, text string")
+    calls = str(tmp_path)
+
+    def counted():
+        def answer(messages):
+            import os
+            import uuid
+
+            open(os.path.join(calls, uuid.uuid4().hex), "w").close()
+            return '[["a", "推进", "b"]]'
+
+        return answer
+
+    run = f"run-{os.path.basename(calls)}"
+    ask = lambda: flows.model_records(docs, "doc_id", ner=counted, extract=counted, tries=1, wait=0.0, run=run).collect()
+    first = ask()
+    assert len(os.listdir(calls)) == 12
+    assert sorted(map(str, ask())) == sorted(map(str, first)) and len(os.listdir(calls)) == 12
+    storage.forget_run(spark, run, "entities", "triplets")
+    ask()
+    assert len(os.listdir(calls)) == 24
+
+
+def test_calls_run_at_once_in_order(spark):
+    import time
+
+    docs = spark.range(12).selectExpr("array(struct('user' as role, cast(id as string) as content)) as messages", "id").coalesce(1)
+
+    def slow():
+        def answer(messages):
+            time.sleep(0.4)
+            if messages[0]["content"] == "7":
+                raise RuntimeError("no")
+            return "r" + messages[0]["content"]
+
+        return answer
+
+    start = time.perf_counter()
+    got = inference.infer(docs, slow, tries=1, wait=0.0, on_error="record", at_once=12).collect()
+    assert time.perf_counter() - start < 4
+    assert [(r.id, r.response, r.failure) for r in got] == [(i, None if i == 7 else f"r{i}", "no" if i == 7 else None) for i in range(12)]
+
+
+def test_imports_and_compaction_lose_no_edges(spark, tmp_path):
+    path, sources = str(tmp_path / "g"), [str(tmp_path / f"in{i}") for i in range(3)]
+    for i, source in enumerate(sources):
+        spark.createDataFrame([(i, 0, f"h{i}", "x", "t"), (i, 1, "both", f"y{'-' * i}z", "t")], GRAPH).coalesce(1).write.parquet(source)
+
+    def take(i, target):
+        stream = spark.readStream.schema(GRAPH).parquet(sources[i])
+        import_stream(stream, target, str(tmp_path / f"c{i}"), "rec", "pos", once=True).awaitTermination(120)
+
+    take(0, path)
+    take(1, path)
+    edges = lambda p: {(r.head, r.rel_name) for r in graph.read_edges(spark, p).collect()}
+    assert {("h0", "x"), ("h1", "x"), ("both", "y-z")} <= edges(path)
+    graph.compact(spark, path, path + "2")
+    before = edges(path + "2")
+    take(2, path + "2")
+    take(2, path + "2")
+    assert {("h0", "x"), ("h1", "x"), ("h2", "x")} <= edges(path + "2")
+    assert {h for h, _ in before} <= {h for h, _ in edges(path + "2")} and ("both", "y--z") in edges(path + "2")
+
+
+def test_file_names_are_plain(spark, tmp_path):
+    names = ["a b.txt", "c%20d.txt", "e+f.txt", "文 件.txt"]
+    for n in names:
+        (tmp_path / n).write_text(n, encoding="utf-8")
+    docs = tables.read_text_files(spark, str(tmp_path) + "/*.txt").orderBy("file").collect()
+    assert [(r.file, r.text) for r in docs] == [(n, n) for n in sorted(names)]
+    assert {r.source for r in docs} == {str(tmp_path / n) for n in names}
+
+
+def test_numbering_tells_equal_names_apart(spark):
+    docs = spark.createDataFrame([("b/x", "one。" * 3), ("a/x", "two。"), ("a/x", "three。")], "source string, text string")
+    got = chunking.numbered_chunks(docs, "source", budget=2).orderBy("id").collect()
+    assert [r.id for r in got] == list(range(1, len(got) + 1)) and [r.source for r in got][:2] == ["a/x", "a/x"]
+    assert [r.chunk_index for r in got if r.source == "b/x"] == list(range(1, len(got) - 1))
+
+
+def test_index_blocks_under_a_hot_entity(spark):
+    rows = spark.range(5000).selectExpr("concat('f', id % 97, '.txt') as file", "cast(id as int) as pos", "'hot' as head", "'推进' as rel", "concat('t', id % 1000) as tail")
+    blocks = index.inverted_index(index.postings(rows, "file"), "file", most=64).collect()
+    hot = sorted((r for r in blocks if r.entity == "hot"), key=lambda r: r.block)
+    assert [r.block for r in hot] == list(range(79)) and all(r.n == 64 for r in hot[:-1]) and sum(r.n for r in hot) == 5000
+    flat = [(p.file, p.pos) for r in hot for p in r.postings]
+    assert flat == sorted(flat) and sum(r.n for r in blocks) == 10_000

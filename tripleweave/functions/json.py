@@ -138,7 +138,7 @@ def triple_items(value: Column) -> Column:
     broken = F.array(F.struct(F.lit(0), F.lit(False), *[F.lit(None).cast("string")] * 3)).cast(kind)
     return F.coalesce(
         F.transform(variant_items(value), item).cast(kind),
-        F.when(is_falsy(value) | error_of(value).isNotNull(), none),
+        F.when(is_falsy(value) | has_error(value), none),
         broken,
     )
 
@@ -151,6 +151,24 @@ def is_falsy(value: Column) -> Column:
     )
 
 
+def has_error(value: Column) -> Column:
+    """Whether the value is an object with the key ``error``, whatever stands there."""
+    fields = F.try_variant_get(value, "$", "map<string,variant>")
+    return F.coalesce(F.map_contains_key(fields, "error"), F.lit(False))
+
+
+def relation_items(value: Column) -> Column:
+    """Second parts of all list items that have one: array<struct<pos, rel>>."""
+
+    def item(x: Column, pos: Column) -> Column:
+        second = lambda parts: F.struct(pos.cast("int").alias("pos"), F.when(F.size(parts) >= 2, text_of(F.get(parts, F.lit(1)))).alias("rel"))
+        return let(variant_items(x), second)
+
+    kind = "array<struct<pos:int,rel:string>>"
+    items = F.coalesce(F.transform(variant_items(value), item).cast(kind), F.array().cast(kind))
+    return F.filter(items, lambda t: t["rel"].isNotNull())
+
+
 def error_of(value: Column) -> Column:
     """The ``error`` field of an error object, else NULL."""
     return F.try_variant_get(value, "$.error", "string")
@@ -165,14 +183,16 @@ def entity_map(value: Column) -> Column:
     return F.map_filter(lists, lambda k, v: v.isNotNull())
 
 
+def json_string(s: Column) -> Column:
+    """Text as a JSON string, NULL for NULL."""
+    return F.when(s.isNotNull(), let(F.to_json(F.array(s)), lambda j: F.substring(j, F.lit(2), F.length(j) - 2)))
+
+
 def python_json(entities: Column) -> Column:
     """Map of string lists as JSON text with a blank after ',' and ':'."""
 
-    def quoted(s: Column) -> Column:
-        return let(F.to_json(F.array(s)), lambda j: F.substring(j, F.lit(2), F.length(j) - 2))
-
     def field(entry: Column) -> Column:
-        values = F.array_join(F.transform(entry["value"], quoted), ", ")
-        return F.concat(quoted(entry["key"]), F.lit(": ["), values, F.lit("]"))
+        values = F.array_join(F.transform(entry["value"], json_string), ", ")
+        return F.concat(json_string(entry["key"]), F.lit(": ["), values, F.lit("]"))
 
     return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(entities), field), ", "), F.lit("}"))

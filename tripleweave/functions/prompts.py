@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import lexicon as L
-from .json import python_json
+from .json import json_string, python_json
 
 
 def fill(template: str, **values: str | Column) -> Column:
@@ -44,11 +44,20 @@ def ner_messages(text: Column, mode: str = "strict", hub: str = L.HUB) -> Column
     )
 
 
-def re_messages(text: Column, entities: Column) -> Column:
-    """System text, then text and entity map as JSON."""
+def re_messages(text: Column, entities: Column, error: Column | None = None, raw: Column | None = None) -> Column:
+    """System text, then text and entity map as JSON.
+
+    Where the entities failed, their ``error`` and ``raw`` answer stand in
+    place of the map; without any of them it is empty.
+    """
+    shown = python_json(entities)
+    if error is not None:
+        field = lambda name, value: F.concat(F.lit(f'"{name}": '), F.coalesce(json_string(value), F.lit("null")))
+        failed = F.concat(F.lit("{"), field("error", error), F.lit(", "), field("raw", F.lit(None).cast("string") if raw is None else raw), F.lit("}"))
+        shown = F.coalesce(shown, F.when(error.isNotNull(), failed))
     return F.array(
         _message("system", F.lit(L.RE_SYSTEM)),
-        _message("user", fill(L.RE_USER, text=text, entities=python_json(entities))),
+        _message("user", fill(L.RE_USER, text=text, entities=F.coalesce(shown, F.lit("{}")))),
     )
 
 

@@ -41,7 +41,7 @@ def rows_of(items: Column) -> Column:
     Exploding a bare column makes the optimizer infer a filter on its size and
     push that below the step, which would compute the array twice.
     """
-    return F.slice(items, 1, 1 << 30)
+    return F.slice(items, F.lit(1), F.size(items))
 
 
 def strip(text: Column) -> Column:
@@ -110,16 +110,19 @@ def length_sizes(parts: Column) -> Column:
     return F.transform(parts, estimate_tokens)
 
 
+FOLD = 512
+
+
 def chunk_starts(sizes: Column, budget: int = DEFAULT_BUDGET) -> Column:
     """1-based position of the first sentence of each chunk.
 
     A greedy fold: a chunk is closed when the next sentence would exceed the
     budget; a sentence above the budget stands alone. The state holds one
-    number per chunk, not the text.
+    number per chunk, not the text. A fold copies its state at every step, so
+    sentences are folded ``FOLD`` at a time and the lists joined per block.
     """
-    state = F.struct(
-        F.array().cast("array<int>").alias("starts"), F.lit(0).alias("used"), F.lit(1).alias("at")
-    )
+    none = F.array().cast("array<int>")
+    state = F.struct(none.alias("starts"), F.lit(0).alias("used"), F.lit(1).alias("at"))
 
     def step(acc: Column, size: Column) -> Column:
         opens = (acc["at"] == 1) | (acc["used"] + size > budget)
@@ -129,7 +132,19 @@ def chunk_starts(sizes: Column, budget: int = DEFAULT_BUDGET) -> Column:
             (acc["at"] + 1).alias("at"),
         )
 
-    return F.aggregate(sizes, state, step, lambda acc: acc["starts"])
+    def block(acc: Column, part: Column) -> Column:
+        begin = F.struct(none.alias("starts"), acc["used"].alias("used"), acc["at"].alias("at"))
+        return let(
+            F.aggregate(part, begin, step),
+            lambda r: F.struct(F.concat(acc["starts"], r["starts"]).alias("starts"), r["used"].alias("used"), r["at"].alias("at")),
+        )
+
+    def in_blocks(all_sizes: Column) -> Column:
+        firsts = F.when(F.size(all_sizes) > 0, F.sequence(F.lit(1), F.size(all_sizes), F.lit(FOLD)))
+        parts = F.transform(firsts, lambda i: F.slice(all_sizes, i, F.lit(FOLD)))
+        return F.aggregate(F.coalesce(parts, F.array().cast("array<array<int>>")), state, block, lambda acc: acc["starts"])
+
+    return let(sizes, in_blocks)
 
 
 def cut_chunks(parts: Column, starts: Column) -> Column:

@@ -121,13 +121,33 @@ def file_offsets(counts: DataFrame, file: Sequence[str]) -> DataFrame:
     )
 
 
-def number_chunks(chunks: DataFrame, file: Sequence[str] = ("file",)) -> DataFrame:
-    """Number chunks from 1 over the corpus, in file order then chunk order.
+def packed_documents(
+    docs: DataFrame, budget: int = X.DEFAULT_BUDGET, extra: bool = False, text: str = "text"
+) -> DataFrame:
+    """Clean, split and pack every document: the other columns, ``chunks`` (list of texts) and their number ``n``."""
+    keep = [c for c in docs.columns if c != text]
+    parts = X.sentences(X.clean_text(F.col(text), extra))
+    packed = docs.select(*keep, X.let(parts, lambda p: X.pack(p, budget)).alias("chunks"))
+    return packed.withColumn("n", F.size("chunks").cast("bigint"))
+
 
-    Counts per file are combined before the shuffle; a file's chunks are
-    already numbered, so only its offset is needed. ``chunks`` is read twice:
-    pass a stored table if it is costly to build.
+def numbered_chunks(
+    docs: DataFrame, *file: str, budget: int = X.DEFAULT_BUDGET, extra: bool = False, text: str = "text"
+) -> DataFrame:
+    """Chunks of all documents, numbered from 1 over the corpus in the order of ``file``, then of chunks.
+
+    ``file`` names the columns that tell documents apart, such as the whole
+    path: names that repeat in two folders are two documents, and documents
+    that repeat all of ``file`` are numbered one after another.
+
+    Documents are packed once and stored with their number of chunks. Only
+    keys and numbers are shuffled and sorted; each document then gets the
+    number its chunks begin at, and chunks are made behind that join.
     """
-    counts = chunks.groupBy(*file).agg(F.max("chunk_index").cast("bigint").alias("n"))
-    numbered = chunks.drop("id").join(file_offsets(counts, file), list(file))
-    return numbered.withColumn("id", F.col("offset") + F.col("chunk_index")).drop("offset")
+    tagged = packed_documents(docs, budget, extra, text).withColumn("_row", F.monotonically_increasing_id())
+    stored = stage(tagged, "packed_documents")
+    offsets = file_offsets(stored.select(*file, "_row", "n"), [*file, "_row"]).select("_row", "offset")
+    placed = stored.join(offsets, "_row")
+    keep = [c for c in docs.columns if c != text]
+    rows = placed.select(*keep, "offset", F.posexplode("chunks").alias("p", "text"))
+    return rows.select(*keep, (F.col("p") + 1).alias("chunk_index"), (F.col("offset") + F.col("p") + 1).alias("id"), "text")

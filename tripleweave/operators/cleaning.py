@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import lexicon as L
-from ..functions.json import error_of, triple_items
+from ..functions.json import error_of, has_error, triple_items
 from ..functions.order import major_part, order_key
 from ..functions.relations import canonical_relation, has_relation_keyword, is_placeholder, stripped_entity_valid
 from ..functions.text import rows_of, strip
@@ -140,28 +140,45 @@ def explode_items(records: DataFrame, *keys: str, triplets: str = "triplets") ->
 
 
 def parse_errors(records: DataFrame, *keys: str, triplets: str = "triplets") -> DataFrame:
-    """Records whose triples are an error object: keys, error."""
-    return records.select(*keys, error_of(F.col(triplets)).alias("error")).filter("error is not null")
+    """Records whose triples are an object with the key ``error``: keys, error (NULL for a JSON null)."""
+    failed = records.select(*keys, F.when(has_error(F.col(triplets)), F.array(error_of(F.col(triplets)))).alias("_e"))
+    return failed.select(*keys, F.explode(rows_of(F.col("_e"))).alias("error"))
 
 
 def judge_list(items: Column) -> Column:
     """Classify a list of ``triple_items``: array<struct<reason, head, rel, tail>>."""
 
+    def bare(t: Column) -> Column:
+        return F.struct(t["ok"].alias("ok"), *[strip(t[c]).alias(c) for c in ("head", "rel", "tail")])
+
     def one(t: Column) -> Column:
-        h, r, x = (strip(t[c]) for c in ("head", "rel", "tail"))
         return F.struct(
-            reason(t["ok"], h, r, x).alias("reason"),
-            h.alias("head"), canonical_relation(r).alias("rel"), x.alias("tail"),
+            reason(t["ok"], t["head"], t["rel"], t["tail"]).alias("reason"),
+            t["head"].alias("head"), canonical_relation(t["rel"]).alias("rel"), t["tail"].alias("tail"),
         )
 
-    return F.transform(items, one)
+    return F.transform(F.transform(items, bare), one)
 
 
 def keep_list(judged: Column) -> Column:
     """Survivors of ``judge_list`` in order, first of equal triples."""
     alive = F.filter(judged, lambda t: t["reason"].isNull())
-    return F.array_distinct(
-        F.transform(alive, lambda t: F.struct(t["head"].alias("head"), t["rel"].alias("rel"), t["tail"].alias("tail")))
+    return F.transform(F.array_distinct(F.transform(alive, _packed)), _unpacked)
+
+
+def _packed(t: Column) -> Column:
+    """Triple as one string, lengths first: strings are told apart by hash, structs by comparing all pairs."""
+    width = lambda c: F.lpad(F.length(t[c]).cast("string"), 10, "0")
+    return F.concat(width("head"), width("rel"), t["head"], t["rel"], t["tail"])
+
+
+def _unpacked(key: Column) -> Column:
+    size = lambda at: F.substring(key, at, 10).cast("int")
+    end = F.length(key)
+    return F.struct(
+        F.substring(key, F.lit(21), size(1)).alias("head"),
+        F.substring(key, 21 + size(1), size(11)).alias("rel"),
+        F.substring(key, 21 + size(1) + size(11), end).alias("tail"),
     )
 
 
@@ -175,7 +192,7 @@ def clean_records(records: DataFrame, triplets: str = "triplets", keep: Sequence
     judged = records.select(
         *columns,
         judge_list(triple_items(F.col(triplets))).alias("_judged"),
-        error_of(F.col(triplets)).isNotNull().alias("_failed"),
+        has_error(F.col(triplets)).alias("_failed"),
     )
     kept = judged.withColumn("triplets", keep_list(F.col("_judged")))
     rejected = F.filter(F.col("_judged"), lambda t: t["reason"].isNotNull())

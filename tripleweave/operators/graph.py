@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .. import lexicon as L
@@ -62,17 +62,28 @@ def new_nodes(existing: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(existing.select("name"), "name", "left_anti")
 
 
-def graph_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row: number of nodes and edges."""
-    n = nodes.agg(F.count("*").alias("n")).select(F.lit("nodes").alias("what"), "n")
-    e = edges.agg(F.count("*").alias("n")).select(F.lit("edges").alias("what"), "n")
-    return n.unionByName(e)
+def graph_counts(edges: DataFrame) -> DataFrame:
+    """Number of nodes and edges, from one pass over the edges: nodes are their ends.
+
+    Each edge gives its two names and a mark; counting distinct names after a
+    merge by name keeps the edges' own number beside them.
+    """
+    ends = edges.select(F.explode(F.array("head", "tail")).alias("name"))
+    per_name = ends.groupBy("name").agg(F.count("*").alias("ends"))
+    both = per_name.agg(F.count("*").alias("nodes"), F.coalesce((F.sum("ends") / 2).cast("long"), F.lit(0)).alias("edges"))
+    return both.select(F.inline(F.array(*(
+        F.struct(F.lit(w).alias("what"), F.col(w).alias("n")) for w in ("nodes", "edges")
+    ))))
+
+
+def labelled(nodes: DataFrame, label: Column | str = L.NODE_LABEL) -> DataFrame:
+    """Nodes with a ``label`` column: one name for all, or an expression over the nodes."""
+    return nodes.withColumn("label", label if isinstance(label, Column) else F.lit(label))
 
 
 def graph_labels(nodes: DataFrame, limit: int = 10) -> DataFrame:
-    """Distinct node labels."""
-    label = F.col("label") if "label" in nodes.columns else F.lit(L.NODE_LABEL)
-    return nodes.select(label.alias("label")).distinct().orderBy("label").limit(limit)
+    """Distinct labels of a node table (name, label), in order."""
+    return nodes.select("label").distinct().orderBy("label").limit(limit)
 
 
 def graph_sample(edges: DataFrame, n: int = 5) -> DataFrame:
@@ -89,21 +100,26 @@ def import_total(records: DataFrame, triplets: str = "triplets") -> DataFrame:
 # --- stored graph: append a batch, read the current state ---------------------
 
 
-def write_batch(triples: DataFrame, path: str, batch: int, *order: str) -> None:
+def write_batch(triples: DataFrame, path: str, batch: int, *order: str, started: int = 1) -> None:
     """Add one batch of triples to the stored graph.
 
-    The batch goes to its own partition, replacing an earlier try of the same
-    batch, so a repeated run changes nothing and the cost is that of the
-    batch, not of the graph.
+    ``started`` names the import that the batch belongs to: a positive number
+    that rises from import to import, such as the time it was set up. The
+    batch goes to a partition of its own under it, replacing an earlier try of
+    the same batch, so a repeated run changes nothing, another import's
+    batches are never touched, and the cost is that of the batch.
     """
+    if started < 1:
+        raise ValueError("started must be positive; 0 is the compacted graph")
     edges = graph_edges(triples, *order).drop("support")
-    edges.write.mode("overwrite").parquet(f"{path}/edges/batch={int(batch)}")
+    edges.write.mode("overwrite").parquet(f"{path}/edges/started={int(started)}/batch={int(batch)}")
 
 
 def read_edges(spark, path: str) -> DataFrame:
-    """Current edges with the relation name of the latest batch."""
+    """Current edges with the relation name of the latest batch of the latest import."""
     stored = spark.read.option("basePath", f"{path}/edges").parquet(f"{path}/edges")
-    return stored.groupBy(*EDGE_KEY).agg(F.max_by("rel_name", "batch").alias("rel_name"))
+    late = F.struct(F.col("started").cast("long"), F.col("batch").cast("long"))
+    return stored.groupBy(*EDGE_KEY).agg(F.max_by("rel_name", late).alias("rel_name"))
 
 
 def read_nodes(spark, path: str) -> DataFrame:
@@ -113,8 +129,11 @@ def read_nodes(spark, path: str) -> DataFrame:
 
 
 def compact(spark, path: str, target: str) -> None:
-    """Write the current edges as the first batch of a new stored graph."""
-    read_edges(spark, path).write.mode("overwrite").parquet(f"{target}/edges/batch=0")
+    """Write the current edges as the beginning of a new stored graph.
+
+    They stand before every import, in a partition that no batch can have.
+    """
+    read_edges(spark, path).write.mode("overwrite").parquet(f"{target}/edges/started=0/batch=0")
 
 
 def send_edges(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import strip
-
-BLOCK_POSITIONS = 1 << 20
+from ..sources.storage import stage
 
 
 def postings(triples: DataFrame, *keys: str) -> DataFrame:
@@ -27,22 +27,30 @@ def postings(triples: DataFrame, *keys: str) -> DataFrame:
     return rows.filter("entity <> ''").select("entity", *keys, "pos", "role", "head", "rel", "tail")
 
 
-def inverted_index(posted: DataFrame, *keys: str, spans: Sequence[int] | None = None) -> DataFrame:
-    """Posting lists per entity, cut into blocks of bounded size.
+def inverted_index(posted: DataFrame, *keys: str, most: int = 1 << 16) -> DataFrame:
+    """Posting lists per entity, cut into blocks of ``most`` postings; keys of any type.
 
     An entity, or an entity within one record, may own a third of all
-    postings, so its list is never built as one value. ``block`` numbers the
-    ranges of the record keys and of the position a posting falls in; each
-    range is ``spans`` wide (by default all equal, so that a block can hold
-    ``BLOCK_POSITIONS`` positions). Blocks of an entity go to different
-    tasks, and together they are its whole list.
+    postings, so its list is never built as one value. The postings are
+    sorted by entity and keys over all tasks; ``block`` numbers the blocks of
+    an entity in that order from 0, so together they are its whole list, each
+    full but the last. Rows of an entity that lie in several ranges are
+    counted per range first; no range is read by one task for them all.
     """
-    columns = [*keys, "pos"]
-    spans = spans or [2 ** (BLOCK_POSITIONS.bit_length() // len(columns))] * len(columns)
-    block = F.array(*[F.expr(f"cast({c} div {n} as bigint)") for c, n in zip(columns, spans)])
-    entry = F.struct(*keys, "pos", "role", "head", "rel", "tail")
+    order = [*keys, "pos", "role", "head", "rel", "tail"]
+    ranged = stage(
+        posted.repartitionByRange("entity", *order).sortWithinPartitions("entity", *order)
+        .withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()),
+        "sorted_postings",
+    )
+    # one row per entity and range it has postings in
+    held = ranged.groupBy("entity", "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("entity").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    begin = held.select("entity", "_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    entry = F.struct(*order)
     return (
-        posted.groupBy("entity", block.alias("block"))
+        ranged.join(begin, ["entity", "_range"])
+        .groupBy("entity", F.expr(f"(_before + _at - _first) div {int(most)}").alias("block"))
         .agg(F.sort_array(F.collect_list(entry)).alias("postings"))
         .select("entity", "block", F.size("postings").alias("n"), "postings")
     )
@@ -61,11 +69,13 @@ def with_text(posted: DataFrame, records: DataFrame, *keys: str, text: str = "te
     return posted.join(records.select(*keys, text), list(keys))
 
 
-def write_index(posted: DataFrame, table: str, buckets: int = 64, path: str | None = None) -> None:
-    """Store postings bucketed and sorted by entity: a lookup reads one bucket.
+def write_index(posted: DataFrame, table: str, files: int = 64, path: str | None = None) -> None:
+    """Store postings in about ``files`` files, sorted by entity over all of them.
 
-    An entity with a large share of all postings fills its bucket; the rows of
-    a bucket are written by as many tasks as hold them, so nothing is gathered.
+    A lookup reads the files whose range holds the entity, which their
+    statistics tell; an entity with a large share of all postings spreads
+    over as many files as its share, cut by the other columns.
     """
-    writer = posted.write.mode("overwrite").bucketBy(buckets, "entity").sortBy("entity")
+    rest = [c for c in posted.columns if c != "entity"]
+    writer = posted.repartitionByRange(files, "entity", *rest).sortWithinPartitions("entity").write.mode("overwrite")
     (writer.option("path", path) if path else writer).saveAsTable(table)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -42,14 +43,21 @@ def infer(
     wait: float = 1.0,
     on_error: str = "raise",
     default: str | None = None,
+    at_once: int = 1,
 ) -> DataFrame:
     """Add ``response`` and ``failure``; ``load`` builds the client once per worker.
 
+    A worker runs up to ``at_once`` calls at a time (the client must allow
+    it); answers keep the order of their rows. With ``raise`` the first
+    failure ends the task, and calls not begun by then are not made.
+
     ``on_error``: ``raise`` fails the task, ``default`` answers with
     ``default``, ``record`` keeps the row with the message in ``failure``.
     """
     if on_error not in ("raise", "default", "record"):
         raise ValueError(f"unknown on_error: {on_error}")
+    if at_once < 1:
+        raise ValueError("at_once must be positive")
 
     def ask(model: Model, chat) -> dict:
         if chat is None:
@@ -67,8 +75,14 @@ def infer(
     @F.pandas_udf("response string, failure string")
     def answers(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load()
-        for batch in batches:
-            yield pd.DataFrame([ask(model, chat) for chat in batch], columns=["response", "failure"])
+        with ThreadPoolExecutor(at_once) as pool:
+            for batch in batches:
+                calls = [pool.submit(ask, model, chat) for chat in batch]
+                try:
+                    yield pd.DataFrame([c.result() for c in calls], columns=["response", "failure"])
+                finally:
+                    for c in calls:
+                        c.cancel()
 
     # one call per row, even if a later step uses the answer twice
     asked = df.withColumn("_answer", answers.asNondeterministic()(F.col(messages)))

@@ -15,9 +15,13 @@ def render_ner(df: DataFrame, mode: str = "strict", hub: str = L.HUB) -> DataFra
 
 
 def render_re(df: DataFrame, mode: str = "strict", hub: str = L.HUB) -> DataFrame:
-    """``lenient`` lists the entities around the hub; NULL messages without any."""
+    """``lenient`` lists the entities around the hub; NULL messages without any.
+
+    In strict mode columns ``entities_error`` and ``entities_raw``, if there, stand for entities that failed.
+    """
     text, entities = F.col("text"), F.col("entities")
-    chat = P.re_messages(text, entities) if mode == "strict" else P.re_messages_hub(text, entities, hub)
+    failed = [F.col(c) for c in ("entities_error", "entities_raw") if c in df.columns]
+    chat = P.re_messages(text, entities, *failed) if mode == "strict" else P.re_messages_hub(text, entities, hub)
     return df.withColumn("messages", chat)
 
 

@@ -3,26 +3,30 @@
 A lexicon is a list of ``(category, keywords, canonical)``. A text gets the
 canonical entity once if any of its keywords occurs in it.
 
-* ``entity_column``/``tag_records``: the lexicon becomes a projection. No join,
-  no shuffle; for lexicons up to ``INLINE_KEYWORDS`` keywords (checked).
-* ``tag_by_join``: the lexicon is a table of any size. Texts are cut into the
-  substrings of the keyword lengths and equi-joined, so there is no
-  theta join; Spark broadcasts the lexicon only if it is below its threshold.
+* ``entity_column``/``tag_records``/``tag_entities``: the lexicon travels with
+  the plan, no join, no shuffle. A short one is a projection of substring
+  tests; a long one, whose projection would read the text once per keyword, is
+  an automaton over all keywords, built once per worker. Both give the same.
+* ``tag_by_join``: the lexicon is a table of any size, searched in parts of a
+  bounded number of keywords; texts stay where they are and only hits leave.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import lexicon as L
 from ..functions.relations import contains_any
-from ..functions.text import let, rows_of
+from ..functions.text import rows_of
 
 Lexicon = Sequence[tuple[str, Sequence[str], str]]
-INLINE_KEYWORDS = 256
+#: Up to so many keywords are tested one by one; beyond, an automaton is quicker. The results are the same.
+PROJECTED_KEYWORDS = 256
+HITS = "array<struct<category:string,entity:string>>"
 
 
 def keyword_count(lexicon: Lexicon) -> int:
@@ -33,8 +37,10 @@ def entity_column(
     text: Column, lexicon: Lexicon = L.TAG_LEXICON, categories: Sequence[str] = L.CATEGORIES
 ) -> Column:
     """Entities of a text as map<category, array<entity>>, all categories present."""
-    if keyword_count(lexicon) > INLINE_KEYWORDS:
-        raise ValueError(f"more than {INLINE_KEYWORDS} keywords: use tag_by_join")
+    if keyword_count(lexicon) > PROJECTED_KEYWORDS:
+        hits = automaton_hits(lexicon)(text)
+        of = lambda c: F.transform(F.filter(hits, lambda h: h["category"] == c), lambda h: h["entity"])
+        return F.create_map(*[x for c in categories for x in (F.lit(c), of(c))])
 
     def found(category: str) -> Column:
         hits = [F.when(contains_any(text, words), F.lit(name)) for cat, words, name in lexicon if cat == category]
@@ -44,6 +50,39 @@ def entity_column(
     return F.create_map(*pairs)
 
 
+def automaton_hits(lexicon: Lexicon):
+    """Function of a text column: entries with a keyword in the text, in lexicon order.
+
+    All keywords are searched in one pass over the text (Aho-Corasick).
+    """
+
+    @F.pandas_udf(HITS)
+    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        entries: dict[str, set[int]] = {}
+        for i, (_, words, _) in enumerate(lexicon):
+            for word in words:
+                entries.setdefault(word, set()).add(i)
+        always = entries.pop("", set())  # the empty keyword is in every text
+        machine = ahocorasick.Automaton()
+        for word, numbers in entries.items():
+            machine.add_word(word, numbers)
+        if entries:
+            machine.make_automaton()
+
+        def found(text: str | None) -> list[dict] | None:
+            if text is None:
+                return None
+            some = set(always).union(*(numbers for _, numbers in machine.iter(text))) if entries else always
+            return [{"category": lexicon[i][0], "entity": lexicon[i][2]} for i in sorted(some)]
+
+        for batch in batches:
+            yield batch.map(found, na_action=None)
+
+    return hits
+
+
 def tag_records(chunks: DataFrame, lexicon: Lexicon = L.TAG_LEXICON, text: str = "text", **options) -> DataFrame:
     """Add the ``entities`` map to every chunk."""
     return chunks.withColumn("entities", entity_column(F.col(text), lexicon, **options))
@@ -57,8 +96,8 @@ def explode_entities(records: DataFrame, *keys: str, entities: str = "entities")
 
 def tag_entities(chunks: DataFrame, *keys: str, lexicon: Lexicon = L.TAG_LEXICON, text: str = "text") -> DataFrame:
     """Long form straight from the text: keys, category, entity; no shuffle."""
-    if keyword_count(lexicon) > INLINE_KEYWORDS:
-        raise ValueError(f"more than {INLINE_KEYWORDS} keywords: use tag_by_join")
+    if keyword_count(lexicon) > PROJECTED_KEYWORDS:
+        return chunks.select(*keys, F.inline(automaton_hits(lexicon)(F.col(text))))
     hits = [
         F.when(
             contains_any(F.col(text), words),
@@ -83,38 +122,33 @@ def lexicon_table(spark: SparkSession, lexicon: Lexicon) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-WINDOW = 64
-
-
-def windows(text: Column, overlap: int) -> Column:
-    """Cut a text into pieces of ``WINDOW`` characters plus the next ``overlap``.
-
-    Linear in the text, and a substring of a piece is found in a few steps
-    however long the text is.
-    """
-
-    def cut(chars: Column) -> Column:
-        starts = F.when(F.size(chars) > 0, F.sequence(F.lit(1), F.size(chars), F.lit(WINDOW)))
-        return F.transform(starts, lambda i: F.array_join(F.slice(chars, i, WINDOW + overlap), ""))
-
-    return let(F.split(text, ""), cut)
-
-
-def tag_by_join(chunks: DataFrame, lexicon: DataFrame, *keys: str, text: str = "text") -> DataFrame:
+def tag_by_join(
+    chunks: DataFrame, lexicon: DataFrame, *keys: str, text: str = "text", part_keywords: int = 100_000
+) -> DataFrame:
     """Tag with a lexicon table (category, keyword, entity) of any size.
 
-    Every substring of a keyword length becomes a row in front of an equi-join
-    with the lexicon. A lexicon below the broadcast threshold is probed in the
-    scan; a larger one is joined by shuffle, where AQE splits a keyword that
-    occurs everywhere. The keyword lengths (a handful of numbers) are looked
-    up once.
+    The lexicon passes the driver in parts of ``part_keywords`` rows, and each
+    part is one search over the texts: no text is shuffled, and rows are made
+    for hits only. Keywords of one entity may lie in different parts, so with
+    more than one part equal hits are merged.
     """
-    lengths = sorted(r[0] for r in lexicon.select(F.length("keyword")).distinct().collect())
-    if not lengths:
-        return chunks.select(*keys, F.lit("").alias("category"), F.lit("").alias("entity")).limit(0)
-    pieces = chunks.select(*keys, F.explode(windows(F.col(text), lengths[-1] - 1)).alias("_w"))
-    starts = F.sequence(F.lit(1), F.least(F.length("_w"), F.lit(WINDOW)))
-    placed = pieces.select(*keys, "_w", F.explode(starts).alias("_i"))
-    grams = F.array(*[F.substring("_w", F.col("_i"), F.lit(n)) for n in lengths])
-    rows = placed.select(*keys, F.explode(grams).alias("keyword"))
-    return rows.join(lexicon, "keyword").select(*keys, "category", "entity").distinct()
+
+    def parts() -> Iterator[list]:
+        held = []
+        for row in lexicon.select("category", "keyword", "entity").where("keyword is not null").toLocalIterator():
+            held.append((row.category, [row.keyword], row.entity))
+            if len(held) == part_keywords:
+                yield held
+                held = []
+        yield held
+
+    found, many = None, False
+    for part in parts():
+        merged: dict[tuple, list[str]] = {}
+        for category, words, entity in part:
+            merged.setdefault((category, entity), []).extend(words)
+        entries = [(category, words, entity) for (category, entity), words in merged.items()]
+        rows = chunks.select(*keys, F.inline(automaton_hits(entries)(F.col(text))))
+        many = found is not None
+        found = rows if found is None else found.unionByName(rows)
+    return found.distinct() if many else found

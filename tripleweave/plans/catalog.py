@@ -108,7 +108,7 @@ numbered as (
 def _numbered(spark, sf):
     file = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     docs = V.noisy(spark, sf).select(file.alias("file"), "text")
-    return chunking.number_chunks(chunking.chunk_documents(docs, extra=True))
+    return chunking.numbered_chunks(docs, "file", extra=True)
 
 
 @query(_NUMBERED + " select id, file, chunk_index, text from numbered")
@@ -593,10 +593,6 @@ posted as (
   union all select {V.sql_strip('tail')}, rec, pos, 1, head, rel, tail from kept)"""
 
 
-# positions of the candidates start with the line and part number
-_SPANS = [1024, 4 * 10**9]
-
-
 def _posted(spark, sf):
     return index.postings(cleaning.clean_triples(V.candidates(spark, sf)), "rec")
 
@@ -610,16 +606,39 @@ def index_postings(spark, sf):
     return _posting_columns(_posted(spark, sf))
 
 
-@query(_POSTINGS + f""" select entity, rec // {_SPANS[0]} as block, pos // {_SPANS[1]} as part, count(*) as n,
-  string_agg(rec || ':' || pos || ':' || role || ':' || head || '|' || rel || '|' || tail, ';' order by rec, pos, role, head, rel, tail)
+def _blocks(most: int, rec: str = "rec") -> str:
+    return _POSTINGS + f""", ranked as (
+  select *, (row_number() over (partition by entity order by {rec}, pos, role, head, rel, tail) - 1) // {most} as block
+  from posted where entity <> '')
+select entity, block, count(*) as n,
+  string_agg({rec} || ':' || pos || ':' || role || ':' || head || '|' || rel || '|' || tail, ';' order by {rec}, pos, role, head, rel, tail)
     as postings
-from posted where entity <> '' group by 1, 2, 3""")
-def inverted_index(spark, sf):
-    blocks = index.inverted_index(_posted(spark, sf), "rec", spans=_SPANS)
+from ranked group by 1, 2"""
+
+
+def _shown_blocks(blocks):
     shown = F.transform("postings", lambda p: F.concat_ws(
         ":", p["rec"].cast("string"), p["pos"].cast("string"), p["role"].cast("string"), F.concat_ws("|", p["head"], p["rel"], p["tail"])))
-    block, part = (F.get("block", F.lit(i)).alias(c) for i, c in enumerate(("block", "part")))
-    return blocks.select("entity", block, part, big("n"), F.array_join(shown, ";").alias("postings"))
+    return blocks.select("entity", "block", big("n"), F.array_join(shown, ";").alias("postings"))
+
+
+@query(_blocks(100))
+def inverted_index(spark, sf):
+    return _shown_blocks(index.inverted_index(_posted(spark, sf), "rec", most=100))
+
+
+@query(_blocks(100, "('order ' || rec)"))
+def inverted_index_by_name(spark, sf):
+    named = _posted(spark, sf).withColumn("rec", F.concat(F.lit("order "), F.col("rec").cast("string")))
+    return _shown_blocks(index.inverted_index(named, "rec", most=100))
+
+
+@query(_POSTINGS + """ select entity, rec, pos, cast(role as bigint) as role, head, rel, tail, o_orderpriority as text
+from posted join orders on o_orderkey = rec where entity <> ''""")
+def index_with_text(spark, sf):
+    records = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("rec"), F.col("o_orderpriority").alias("text"))
+    rows = index.with_text(_posted(spark, sf), records, "rec")
+    return rows.select("entity", "rec", "pos", big("role"), "head", "rel", "tail", "text")
 
 
 @query(_POSTINGS + """ select entity, rec, pos, cast(role as bigint) as role, head, rel, tail
@@ -673,13 +692,15 @@ def graph_new_nodes(spark, sf):
 @query(_EDGES + """ select 'edges' as what, count(*) as n from edges
 union all select 'nodes', count(distinct name) from (select unnest([head, tail]) as name from edges)""")
 def graph_counts(spark, sf):
-    rows = _graph_rows(spark, sf)
-    return graph.graph_counts(graph.graph_nodes(rows), _edges(spark, sf))
+    return graph.graph_counts(_edges(spark, sf))
 
 
-@query(_EDGES + f" select distinct '{L.NODE_LABEL}' as label from edges limit 10")
+@query(_GRAPH_ROWS + """, names as (
+  select head as name from graph_rows where tail is not null union select tail from graph_rows where tail is not null)
+select distinct left(name, 1) as label from names order by label limit 10""")
 def graph_labels(spark, sf):
-    return graph.graph_labels(graph.graph_nodes(_graph_rows(spark, sf)))
+    nodes = graph.graph_nodes(_graph_rows(spark, sf))
+    return graph.graph_labels(graph.labelled(nodes, F.substring("name", 1, 1)))
 
 
 @query(_EDGES + " select head, rel_type, tail, rel_name, support from edges order by head, rel_type, tail limit 5")
@@ -706,6 +727,15 @@ def top_relations(spark, sf):
     return stats.top_relations(V.candidates(spark, sf), "rec", "pos")
 
 
+@query(f"""with {V.SQL_ITEMS}, seconds as (
+  select rec, pos, case json_type(item, '$[1]') when 'NULL' then 'None'
+    when 'BOOLEAN' then upper(left(item->>'$[1]', 1)) || substr(item->>'$[1]', 2) else item->>'$[1]' end as rel
+  from items where json_type(item) = 'ARRAY' and json_array_length(item) >= 2)
+select rel, n from (select rel, count(*) as n, min({{'r': rec, 'p': pos}}) as first from seconds group by rel) order by n desc, first limit 10""")
+def top_relations_items(spark, sf):
+    return stats.top_relations(stats.relation_list(V.records_json(spark, sf), "rec"), "rec", "pos")
+
+
 @query(f"""with {V.SQL_CHINESE}, {V.sql_tags('chinese', L.TAG_LEXICON)}, {V.sql_triples('chinese')}
 select c.doc_id, left(replace(c.text, chr(10), ' '), 200) as preview, count(t.pos) as n,
   string_agg(head || '|' || rel || '|' || tail, ';' order by pos) filter (pos < 10) as triplets
@@ -719,9 +749,17 @@ def triplet_preview(spark, sf):
 @query(f"""with recursive {V.SQL_CHINESE}, {V.sql_chunks('chinese')}, keyed as (
   select {{'d': doc_id, 'c': chunk_index}} as doc_id, text from chunks),
 {V.sql_tags('keyed', L.TAG_LEXICON)}, {V.sql_triples('keyed')}
-select (select count(*) from keyed) as chunks, count(*) as triplets from triples""")
+select (select count(*) from keyed) as chunks, count(*) as triplets,
+  (select left(text, 100) from keyed order by doc_id limit 1) as preview,
+  (select coalesce(string_agg(category || ':' || entity, ';' order by rank), '') from tags where doc_id = (select min(doc_id) from keyed)) as entities,
+  (select coalesce(string_agg(head || '|' || rel || '|' || tail, ';' order by pos), '') from triples
+    where pos < 5 and doc_id = (select min(doc_id) from keyed)) as first
+from triples""")
 def run_summary(spark, sf):
-    return stats.run_summary(flows.rule_records(V.chinese(spark, sf), "doc_id"))
+    one = stats.run_summary(flows.rule_records(V.chinese(spark, sf), "doc_id"), "doc_id", "chunk_index")
+    by_type = F.flatten(F.transform(F.map_entries("entities"), lambda e: F.transform(e["value"], lambda v: F.concat_ws(":", e["key"], v))))
+    triples_ = F.transform("first", lambda t: F.concat_ws("|", t["head"], t["rel"], t["tail"]))
+    return one.select("chunks", "triplets", "preview", F.array_join(by_type, ";").alias("entities"), F.array_join(triples_, ";").alias("first"))
 
 
 # --- composed -----------------------------------------------------------------------------
@@ -755,6 +793,19 @@ def model_to_triplets(spark, sf):
     return rows.select("doc_id", "chunk_index", "t.head", "t.rel", "t.tail", "failed")
 
 
+@query(f"""with recursive {V.SQL_CHINESE}, {V.sql_chunks('chinese')},
+asked as (select doc_id, cast(chunk_index as bigint) as chunk_index, contains(text, '城市北部') as good from chunks where length(text) >= 5)
+select doc_id, chunk_index, '政府' as head, '推进' as rel, '建设' as tail from asked where good
+union all select doc_id, chunk_index, 'x', '{L.HUB_RELATION}', '{L.HUB}' from asked""")
+def model_to_triplets_hub(spark, sf):
+    records = flows.model_records(
+        V.chinese(spark, sf), "doc_id", ner=stand_ins.entity_model, extract=stand_ins.triple_model, mode="lenient", style="entities",
+        tries=1, wait=0.0, at_once=4,
+    )
+    rows = records.select("doc_id", big("chunk_index"), F.explode("triplets").alias("t"))
+    return rows.select("doc_id", "chunk_index", "t.head", "t.rel", "t.tail")
+
+
 @query(f"""with {V.SQL_CLEAN_CANDIDATES}, graph_rows as (select rec, pos, head, rel, tail from kept),
 typed as (select rec, pos, head, rel, tail, {_SANITIZE} as rel_type from {_sanitized('rel')})
 select head, rel_type, tail, arg_max(rel, {{'r': rec, 'p': pos, 'n': rel}}) as rel_name, count(*) as support from typed group by 1, 2, 3""")

@@ -50,6 +50,8 @@ def model_records(
     budget: int = DEFAULT_BUDGET,
     tries: int = 5,
     wait: float = 1.0,
+    at_once: int = 1,
+    run: str | None = None,
 ) -> DataFrame:
     """Documents to records by two model calls per chunk.
 
@@ -57,16 +59,23 @@ def model_records(
     syntax and core concepts and keeps a failed call as ``error``;
     ``style="entities"`` asks with text and entities. ``mode="lenient"`` skips
     short texts and records without entities, answers empty after a failure,
-    and links records to the hub. The answers are stored after each call.
+    and links records to the hub: ``triplets`` is then a list of triples. A
+    failed entity answer stays in ``entities_error`` and ``entities_raw``, and
+    the second call is shown it in place of the entities.
+
+    The answers are stored after each call; with a ``run`` name under that
+    name, and a later call with the same name and folder takes them from
+    there, so a new driver asks for nothing twice. ``at_once`` calls run at a
+    time in each worker.
     """
     lenient = mode == "lenient"
-    calls = {"tries": tries, "wait": wait, "on_error": "default" if lenient else "raise"}
+    calls = {"tries": tries, "wait": wait, "on_error": "default" if lenient else "raise", "at_once": at_once}
     chunks = chunking.chunk_documents(docs.select(*keys, "text"), budget)
     if lenient:
         chunks = inference.prefilter_short_text(chunks)
     asked = inference.infer(prompting.render_ner(chunks, mode, hub), ner, default="{}", **calls)
-    tagged = inference.parse_entities(stage(asked.drop("messages", "failure"), "entities"), mode)
-    tagged = tagged.drop("response", "error", "raw")
+    tagged = inference.parse_entities(stage(asked.drop("messages", "failure"), "entities", run), mode)
+    tagged = tagged.drop("response").withColumnsRenamed({"error": "entities_error", "raw": "entities_raw"})
     if lenient:
         tagged = inference.prefilter_has_entities(tagged)
     if style == "core":
@@ -74,9 +83,10 @@ def model_records(
         calls["on_error"] = "record"
     else:
         prompts = prompting.render_re(tagged, mode, hub)
-    answered = stage(inference.infer(prompts, extract, default="[]", **calls).drop("messages"), "triplets")
+    answered = stage(inference.infer(prompts, extract, default="[]", **calls).drop("messages"), "triplets", run)
     parsed = inference.parse_triplets(answered, mode)
-    return parsed.withColumn("error", F.coalesce("failure", "error")).drop("failure", "response")
+    records = parsed.withColumn("error", F.coalesce("failure", "error")).drop("failure", "response")
+    return link_model_records(records, hub) if lenient else records
 
 
 def link_model_records(records: DataFrame, hub: str = L.HUB) -> DataFrame:

@@ -10,10 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACE_CHARS, SPACE_CLASS
-from ..sources.storage import spread
 from ..sources.tables import read_table
 
+# fixed values: white space as the SQL spells it, apart from the library's own list
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE_CLASS = (
+    "[\\x{9}-\\x{d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+)
 NOISE = ["12", "12345", "Page 3 of 10", "see page 3", "第 5 页", "-*_-", "--", " \t"]
 CHINESE = ["城市北部规划建设产业园区。", "建筑设计。", "发展目标。", "该地区功能完善。", "今天天气很好。"]
 LATIN_LEXICON = [
@@ -29,6 +35,15 @@ LATIN_LEXICON = [
 HUB = "housing"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over as many partitions as the session asks for in ``tripleweave.input.partitions``; by default as they are read.
+
+    A bench or test on one machine sets it, as a table of one row group is read by one task.
+    """
+    n = int(df.sparkSession.conf.get("tripleweave.input.partitions", "0"))
+    return df.repartition(n, key) if n else df
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(read_table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
 
@@ -101,6 +116,8 @@ RECORD_JSON = [
     '[["<x> "," 规划建设"," <y>"],["北","推进","<y>"],["！","推进","<y>"]]',
     '[[1,"推进",true],["<x>","实现",25]]',
     "[]",
+    '{"error":null,"raw":"<x>"}',
+    '[["<x>","位于"],["<y>"],["<x>","推进","<y>"]]',
 ]
 RESPONSES = [
     '[["<x>","推进","<y>"]]',

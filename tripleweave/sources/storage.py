@@ -1,57 +1,55 @@
-"""Sizes, spreading of small inputs, and stage tables in the shared folder."""
+"""Stage tables in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def size_in_bytes(df: DataFrame) -> int | None:
-    """Size estimate of the optimized plan, None where it cannot be asked."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:
-        return None
-
-
-def spread(df: DataFrame, *keys: str, per_core: int = 128 << 20) -> DataFrame:
-    """Give a small input one task per core; leave a large one alone.
-
-    A file of one row group is read by one task. If the whole input is
-    smaller than one ordinary split (``per_core`` bytes) per core, its rows
-    are hashed over the cores; otherwise the scan has enough splits and
-    nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = size_in_bytes(df)
-    if size is None or size >= cores * per_core:
-        return df
-    return df.repartition(cores, *keys)
-
-
-_local_folder: list[str] = []
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; an own one only in local mode."""
+    """Folder that the driver and all executors share: spark.checkpoint.dir, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local_folder:
-        _local_folder.append(tempfile.mkdtemp(prefix="tripleweave-"))
-    return _local_folder[0]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/stages"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, run: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; cuts lineage.
 
     Use it behind model calls (they are not repeated when a later task is
-    lost) and before a value that must not change between two uses.
+    lost) and before a value that must not change between two uses. Without a
+    ``run`` the table has a name of its own and lives as long as the folder,
+    which belongs to the session. With one it lies at ``<run>/<name>``, and a
+    complete table that is there already is read instead of computed; give
+    every input its own run name, and end it with ``forget_run``.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{run}/{name}" if run else f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if not (run and _complete(spark, path)):
+        df.write.mode("overwrite").parquet(path)
+        if run:
+            _mark(spark, path, 1)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _mark(spark: SparkSession, path: str, rows: int) -> None:
+    """A table of one row beside a complete table; written after it, emptied when it is given up."""
+    spark.range(rows).coalesce(1).write.mode("overwrite").json(f"{path}-complete")
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    try:
+        return spark.read.schema("id long").json(f"{path}-complete").count() == 1
+    except AnalysisException:
+        return False
+
+
+def forget_run(spark: SparkSession, run: str, *names: str) -> None:
+    """Give up the stored tables of a run: they are emptied, and computed anew if they are asked for again."""
+    for name in names:
+        path = f"{shared_folder(spark)}/{run}/{name}"
+        if _complete(spark, path):
+            _mark(spark, path, 0)
+            schema = spark.read.parquet(path).schema
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

@@ -28,15 +28,16 @@ def read_text_file(spark: SparkSession, path: str) -> DataFrame:
 def read_text_files(spark: SparkSession, pattern: str) -> DataFrame:
     """Every matching UTF-8 file as one document: source, file, text.
 
+    ``source`` is the path (of local files without a scheme) and ``file`` the
+    name, both as they are written, not in URI form.
+
     Many files are packed into a split by Spark. Sort by ``file`` (code point
     order) where the order of files matters.
     """
     files = spark.read.text(pattern, wholetext=True)
-    return files.select(
-        F.col("_metadata.file_path").alias("source"),
-        F.col("_metadata.file_name").alias("file"),
-        F.col("value").alias("text"),
-    )
+    plain = lambda c: F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
+    source = F.regexp_replace(plain("_metadata.file_path"), "^file:/+", "/")
+    return files.select(source.alias("source"), plain("_metadata.file_name").alias("file"), F.col("value").alias("text"))
 
 
 def _read(spark: SparkSession, path: str, schema: str, fmt: str, multiline: bool) -> DataFrame:

@@ -2,22 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.graph import write_batch
 
 
+def import_number(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the import that ``checkpoint`` stands for, set when it is first used and kept beside it.
+
+    A checkpoint's batches count from 0 again in every new checkpoint, so they
+    need a name of their own; later imports have larger numbers.
+    """
+    place = f"{checkpoint.rstrip('/')}-import"
+    try:
+        return spark.read.schema("started long").json(place).first()["started"]
+    except AnalysisException:
+        started = time.time_ns()
+        spark.range(1).selectExpr(f"{started}L as started").write.json(place)
+        return started
+
+
 def import_stream(triples: DataFrame, path: str, checkpoint: str, *order: str, once: bool = False) -> StreamingQuery:
     """Merge a stream of long triples into the stored graph at ``path``.
 
     A micro-batch that is run again after a failure has the same id and
-    replaces its own partition, so the import is exactly-once. Use
-    ``operators.graph.compact`` when many batches have piled up.
+    replaces its own partition, so the import is exactly-once; another
+    checkpoint is another import, whose batches lie beside it. Keep
+    ``<checkpoint>-import`` as long as the checkpoint, and remove both
+    together. Use ``operators.graph.compact`` when many batches have piled up.
     """
+    started = import_number(triples.sparkSession, checkpoint)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, *order)
+        write_batch(batch, path, batch_id, *order, started=started)
 
     writer = triples.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
