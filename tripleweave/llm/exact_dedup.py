@@ -25,11 +25,13 @@ def reduced(digests: pa.Array, weights: pa.Array, counters: int) -> pa.Table:
     return t.filter(pc.greater(t["weight"], 0))
 
 
-def summarise(counters: int):
+def summarise(counters: int, kind: pa.DataType = pa.string()):
+    """mapInArrow function: the Misra-Gries summary of a partition's (digest, weight) rows, kept batch by batch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.table({"digest": pa.array([], pa.string()), "weight": pa.array([], pa.int64())})
+        held = pa.table({"digest": pa.array([], kind), "weight": pa.array([], pa.int64())})
         for b in batches:
-            t = pa.concat_tables([held, pa.table({"digest": b.column(0).cast(pa.string()), "weight": b.column(1)})])
+            t = pa.concat_tables([held, pa.table({"digest": b.column(0).cast(kind), "weight": b.column(1)})])
             held = reduced(t["digest"].combine_chunks(), t["weight"].combine_chunks(), counters)
         yield from held.to_batches()
 
