@@ -107,11 +107,18 @@ def parse_array_lenient(raw: Column) -> Column:
 
 
 def text_of(value: Column) -> Column:
-    """Text of a JSON scalar; null and booleans in their usual Python spelling."""
+    """Text of a JSON scalar; null, booleans and whole numbers with a point in their usual Python spelling.
+
+    A number written with a point comes as a decimal, without the zeros at
+    its end; up to 18 digits only such a number has no decimals left.
+    """
     shown = F.try_variant_get(value, "$", "string")
     truth = F.try_variant_get(value, "$", "boolean")
-    is_bool = F.schema_of_variant(value) == "BOOLEAN"
-    return F.coalesce(F.when(is_bool, F.initcap(truth.cast("string"))), shown, F.lit("None"))
+    kind = F.schema_of_variant(value)
+    whole = kind.rlike(r"^DECIMAL\(([1-9]|1[0-8]),0\)$")
+    return F.coalesce(
+        F.when(kind == "BOOLEAN", F.initcap(truth.cast("string"))), F.when(whole, F.concat(shown, F.lit(".0"))), shown, F.lit("None")
+    )
 
 
 def triple_items(value: Column) -> Column:

@@ -20,10 +20,12 @@ def _number(value: int) -> Column:
 
 
 def order_key(df: DataFrame, *columns: str) -> Column:
-    """One sortable value for non-negative key columns.
+    """One sortable value for key columns.
 
     Integral columns are put into one decimal, which a hash aggregation can
-    hold; a struct, used for all others, forces a sort.
+    hold; a struct, used for all others, forces a sort. The decimal has no
+    room for signs behind the first column, so a negative key there is an
+    error; cast such keys to decimal or string to have them in a struct.
     """
     bits = _bits(df, columns)
     if len(columns) == 1:
@@ -32,7 +34,8 @@ def order_key(df: DataFrame, *columns: str) -> Column:
         return F.struct(*columns)
     key = F.col(columns[0]).cast("decimal(38,0)")
     for column, width in zip(columns[1:], bits[1:]):
-        key = key * _number(2**width) + F.col(column).cast("decimal(38,0)")
+        part = F.when(F.col(column) < 0, F.raise_error(F.lit(f"negative key in {column}")).cast("decimal(38,0)"))
+        key = key * _number(2**width) + part.otherwise(F.col(column).cast("decimal(38,0)"))
     return key
 
 

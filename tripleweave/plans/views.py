@@ -118,6 +118,7 @@ RECORD_JSON = [
     "[]",
     '{"error":null,"raw":"<x>"}',
     '[["<x>","位于"],["<y>"],["<x>","推进","<y>"]]',
+    '[[1.0,"实现","<x>"],["<x>","实现",2.5]]',
 ]
 RESPONSES = [
     '[["<x>","推进","<y>"]]',
