@@ -156,7 +156,7 @@ def trainer(prior: float, chosen: int, evidence: float, purity: float, steps: in
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", modulus: int = 3,
-    bucket: int = 1, positives: int = 4000, unlabelled: int = 12000, chosen: int = 4096, evidence: float = 12.0, purity: float = 0.7, steps: int = 400, decay: float = 2e-4, rate: float = 0.05,
+    bucket: int = 1, positives: int = 4000, unlabelled: int = 12000, chosen: int = 4096, evidence: float = 12.0, purity: float = 0.7, steps: int = 800, decay: float = 1e-4, rate: float = 0.05,
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """Features, weights and bias, from at most ``positives`` confirmed and ``unlabelled`` other texts.
 
