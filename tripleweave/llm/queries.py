@@ -35,7 +35,7 @@ def op2_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select(
-        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_item",
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
 
 
@@ -76,7 +76,46 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL: dict[str, str] = {
+    "op2_minhash_dedup": rf"""
+with recursive w as (select doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') as l from documents),
+s as (
+  select distinct doc_id, array_to_string(l[k:k + 4], ' ') as shingle
+  from (select doc_id, l, unnest(range(1, greatest(len(l) - 4, least(len(l), 1)) + 1)) as k from w)),
+c as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+links as (
+  select p.a, p.b from p join c ca on ca.doc_id = p.a join c cb on cb.doc_id = p.b where 100 * p.k >= 75 * (ca.n + cb.n - p.k)),
+e as (select a, b from links union all select b, a from links),
+reach(a, b) as (select a, b from e union select r.a, e.b from reach r join e on r.b = e.a),
+m as (select a as doc_id, min(b) as m from reach group by a)
+select d.doc_id, coalesce(c.n, 0) as n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) as component_id,
+  d.doc_id <= coalesce(m.m, d.doc_id) as kept
+from documents d left join c using (doc_id) left join m using (doc_id)
+""",
+    "op3_decontaminate": rf"""
+with w as (select doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as l from documents),
+b as (select item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as l from benchmark),
+bw as (
+  select distinct item_id, n, array_to_string(l[k:k + n - 1], ' ') as win
+  from (select item_id, l, least(13, len(l)) as n, unnest(range(1, len(l) - least(13, len(l)) + 2)) as k from b where len(l) > 0)),
+sizes as (select distinct n from bw),
+dw as (
+  select doc_id, n, k, array_to_string(l[k:k + n - 1], ' ') as win
+  from (select doc_id, l, n, unnest(range(1, len(l) - n + 2)) as k from w, sizes where len(l) >= n)),
+hits as (select dw.doc_id, dw.k, dw.n, bw.item_id from dw join bw using (n, win)),
+hw as (
+  select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(k, k + n)) as p from (select distinct doc_id, k, n from hits))
+  group by doc_id),
+hi as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select w.doc_id, cast(len(l) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(l) as contaminated
+from w left join hw using (doc_id) left join hi using (doc_id)
+""",
     "op1_chat_format": r"""
 with t as (
   select distinct conv_id, cast(coalesce(floor(turn / 1024), 0) as bigint) as part, turn, coalesce(role, '') as speaker, coalesce(text, '') as content
