@@ -161,7 +161,7 @@ def test_bpe(docs, texts, tokenizer, piece):
 def test_bpe_joins(tokenizer):
     encoder = bpe.vocabulary(*queries.vocabulary_files())
     rng = random.Random(5)
-    parts = ["'s", "'re", "'", "r", "e", " ", "  ", "\n", "a", "the", "é", "1", "22", ".", "!!", "<|endoftext|>", "中文", "xxxxx", "🙂", "tion"]
+    parts = ["'s", "'re", "'", "r", "e", " ", "  ", "\n", "a", "the", "é", "1", "22", ".", "!!", "<|endoftext|>", "中文", "xxxxx", "🙂", "tion", "\x1c", "\x85", "\u3000", "\r"]
     for _ in range(400):
         text = "".join(rng.choices(rng.sample(parts, rng.randint(1, 8)), k=rng.randint(0, 300)))
         cut = list(bpe.pieces(text, rng.choice([1, 2, 5, 30])))

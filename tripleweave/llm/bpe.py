@@ -44,8 +44,9 @@ def encode(encoder, text: str) -> list[int]:
 def pieces(text: str, size: int) -> Iterator[tuple[bool, str]]:
     """Consecutive pieces of about ``size`` characters, and whether a piece must be glued to the one before.
 
-    White space behind anything else always begins a new pre-token and stands
-    in no special token, so a cut there needs no glue. Where a stretch of
+    A blank, tab or line end behind anything else than white space always
+    begins a new pre-token and stands in no special token, so a cut there
+    needs no glue. Where a stretch of
     ``size`` characters has no such place, it is cut anyway.
     """
     start, glued = 0, False
@@ -54,7 +55,7 @@ def pieces(text: str, size: int) -> Iterator[tuple[bool, str]]:
         clean = stop == len(text)
         if not clean:
             at = stop
-            while at > start + 1 and not (text[at].isspace() and not text[at - 1].isspace()):
+            while at > start + 1 and not (text[at] in " \t\r\n" and not text[at - 1].isspace()):
                 at -= 1
             clean = at > start + 1
             stop = at if clean else stop
