@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
 from .conftest import prose
 from tripleweave.llm import chain_dedup, decontaminate, suffix_dedup
@@ -125,6 +126,25 @@ def test_sampled_windows_are_whole_across_blocks(monkeypatch):
     assert (covered[: len(data) - 199] >= 1).all() and not covered[len(data) - 199 :].any()
 
 
+def test_windows_at_block_borders_count_once(table_of, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 1000)
+    rng = random.Random(12)
+    clean = prose(rng, 1200)
+    data = np.frombuffer(clean.encode(), np.uint8)
+    covered = np.zeros(len(data), int)
+    for _, _, _, first, last in suffix_dedup.sampled(data, 200):
+        for f, x in zip(first, last):
+            covered[f : x + 1] += 1
+    assert len(data) > 3000 and (covered[: len(data) - 199] == 1).all() and not covered[len(data) - 199 :].any()
+    rows = [(1, clean), (2, prose(rng, 500) + clean[1500:2700] + prose(rng, 300)), (3, prose(rng, 900))]
+    cloudpickle.register_pickle_by_value(suffix_dedup)  # so that workers get the lowered BLOCK too
+    try:
+        got = {r[0]: tuple(r[1:5]) for r in suffix_dedup.remove_repeats(table_of(rows), batches=2).collect()}
+    finally:
+        cloudpickle.unregister_pickle_by_value(suffix_dedup)
+    assert got == brute_repeats(rows, 200) and got[3][1] == 0
+
+
 def test_index_family_merges_geometrically(spark):
     family = suffix_dedup.IndexFamily()
     for b in range(5):

@@ -42,7 +42,7 @@ def sampled(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """
     p = powers()
     span, reach = length - PRINT + 1, prefix_length(length)
-    for begin in range(0, max(0, len(data) - length + 1), BLOCK - length):
+    for begin in range(0, max(0, len(data) - length + 1), BLOCK - length + 1):
         part = data[begin : begin + BLOCK]
         if len(part) < length:
             break
