@@ -184,6 +184,22 @@ def test_shared_passages_salted_and_edges(docs, stored, table_of, spark):
     assert chain_dedup.shared_passages(table_of([], name="e")).count() == 0
 
 
+@pytest.mark.parametrize("limit", [16, 2])
+def test_partners_of_passages_whose_parts_stand_elsewhere(spark, stored, limit):
+    rng = random.Random(21)
+    fresh = lambda n: " ".join(f"v{rng.randrange(10**9)}" for _ in range(n))
+    rows, want = [], set()
+    for _ in range(40):
+        one, two = fresh(30), fresh(30)
+        parts = [one, two, f"{one} {two}"]
+        want |= {len(rows) + 2, len(rows) + 5, len(rows) + 8}
+        rows += [(len(rows) + i, f"{fresh(20)} {p} {fresh(20)}") for i, p in enumerate(parts * 3)]
+    df = stored(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))  # in this order
+    got = chain_dedup.shared_passages(df, limit=limit).collect()
+    assert {x for r in got for x in (r.doc_id, r.other_id)} == want
+    assert all((r.stop - r.start, r.matched) == (60, 60) for r in got)
+
+
 def brute_neighbours(rows):
     by = defaultdict(list)
     for h, s, r, a in rows:
