@@ -200,6 +200,30 @@ def test_partners_of_passages_whose_parts_stand_elsewhere(spark, stored, limit):
     assert all((r.stop - r.start, r.matched) == (60, 60) for r in got)
 
 
+def test_changed_passages_are_found(table_of):
+    rng = random.Random(22)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    rows, want = [], set()
+    for n, every in ((60, 10), (60, 8), (100, 8), (60, 6), (100, 6), (66, 5), (101, 5)):
+        for _ in range(40):
+            words = fresh(n)
+            other = [fresh(1)[0] if i % every == every - 1 and i < n - 1 else w for i, w in enumerate(words)]
+            i = len(rows)
+            rows += [(i, " ".join(fresh(15) + words + fresh(15))), (i + 1, " ".join(fresh(25) + other + fresh(5)))]
+            want.add((i, i + 1))
+    for share in (0.05, 0.1, 0.15):
+        for _ in range(40):
+            words = fresh(80)
+            other = [w if i in (0, 79) or rng.random() >= share else fresh(1)[0] for i, w in enumerate(words)]
+            i = len(rows)
+            rows += [(i, " ".join(fresh(15) + words + fresh(15))), (i + 1, " ".join(fresh(25) + other + fresh(5)))]
+            if sum(x == y for x, y in zip(words, other)) >= 64:
+                want.add((i, i + 1))
+    got = {tuple(sorted((r.doc_id, r.other_id))) for r in chain_dedup.shared_passages(table_of(rows)).collect()}
+    print("found", len(want & got), "of", len(want))
+    assert len(want & got) >= 0.98 * len(want)
+
+
 def brute_neighbours(rows):
     by = defaultdict(list)
     for h, s, r, a in rows:
