@@ -224,6 +224,18 @@ def test_changed_passages_are_found(table_of):
     assert len(want & got) >= 0.98 * len(want)
 
 
+def test_chains_of_a_row_come_in_slices(spark, table_of):
+    rng = random.Random(23)
+    shared = prose(rng, 60)
+    docs = table_of([(i, f"{prose(rng, 5)} {shared} {prose(rng, 5)}") for i in range(80)])
+    rows = docs.selectExpr("doc_id as row", "doc_id", "text")
+    linked = spark.createDataFrame([(i, 0, 5, 5, b"") for i in range(1, 80)], chain_dedup.CHAIN)
+    lists = [len(r.wanted) for r in chain_dedup.sliced(linked, rows, 8).collect()]
+    assert sum(lists) == 2 * 79 and max(lists) <= 24
+    held = {x for r in chain_dedup.shared_passages(docs, most=8).collect() for x in (r.doc_id, r.other_id)}
+    assert held == set(range(80))
+
+
 def brute_neighbours(rows):
     by = defaultdict(list)
     for h, s, r, a in rows:
