@@ -224,6 +224,15 @@ def test_changed_passages_are_found(table_of):
     assert len(want & got) >= 0.98 * len(want)
 
 
+def test_equal_words_beyond_a_gap_do_not_hide_a_passage(table_of):
+    rng = random.Random(24)
+    fresh = lambda n: " ".join(f"v{rng.randrange(10**9)}" for _ in range(n))
+    shared, few = fresh(50), fresh(12)
+    rows = [(i, f"{fresh(9)} {shared} {fresh(35)} {few} {fresh(9)}") for i in range(2)]
+    got = chain_dedup.shared_passages(table_of(rows)).collect()
+    assert [(r.start, r.stop, r.matched) for r in got] == [(9, 59, 50)]
+
+
 def test_chains_of_a_row_come_in_slices(spark, table_of):
     rng = random.Random(23)
     shared = prose(rng, 60)
