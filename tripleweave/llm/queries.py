@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chain_dedup, chat_format, decontaminate, exact_dedup, html_extract, language_mixture, minhash_dedup, suffix_dedup, toxicity
+from . import (
+    bpe, chain_dedup, chat_format, conversation_repair, decontaminate, exact_dedup, html_extract, language_mixture, minhash_dedup, periodic_runs,
+    suffix_dedup, token_counts, toxicity,
+)
 from .common import table
 
 #: Vocabulary of op8, by its public names.
 VOCABULARY = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
+#: Tokenizer of op11.
+COUNTED = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,11 +73,25 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path(COUNTED))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(table(spark, sf, "documents"), damage=True))
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_repair.repaired(table(spark, sf, "conversations"), damage=True)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_minhash_dedup, op3_decontaminate, op4_html_extract, op5_chain_dedup, op6_exact_dedup, op7_language_mixture,
-        op8_bpe, op9_suffix_index, op10_toxicity,
+        op8_bpe, op9_suffix_index, op10_toxicity, op11_token_counts, op12_periodic_runs, op13_conversation_repair,
     )
 }
 
@@ -148,5 +167,79 @@ with g as (
 )
 select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, g.text_sha256
 from documents d join g on sha256(coalesce(d.text, '')) = g.text_sha256
+""",
+    # paths are kept as text: eight digits of cost, then the audit
+    "op13_conversation_repair": r"""
+with recursive c as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(
+      coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ord(x)::bigint)),
+      lambda a, x: list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda d, o: xor(d >> 1, 3988292384 * (d & 1)))) as r
+  from conversations
+), d as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case when kind = 3 then [0, 1] else [0] end) as again
+  from (select *, xor(r, 4294967295) % 20 as kind from c) where kind <> 0
+), f as (
+  select *, row_number() over (partition by conv_id, role, text order by pos) as copy,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as final
+  from (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as pos, count(*) over (partition by conv_id) as n from d)
+), k as (
+  select *, left(role, 1) as i,
+    case when final = '' then 'blank' when copy > 1 then 'duplicate' when final not in ('.', '!', '?') then 'truncated' else '' end as fault
+  from f
+), p as (
+  select conv_id, n + 1 as pos, '00000006II' as s, '00000003I' as u, '00000000' as e, '00000000' as a from k group by conv_id, n
+  union all
+  select conv_id, pos, coalesce(least(s2, printf('%08d', left(u2, 8)::int + 3) || 'I' || u2[9:]), s2), least(u2, printf('%08d', left(a2, 8)::int + 3) || 'I' || a2[9:]),
+    least(e2, printf('%08d', left(u2, 8)::int + 3) || 'I' || u2[9:]), least(a2, printf('%08d', left(u2, 8)::int + 3) || 'I' || u2[9:])
+  from (
+    select conv_id, pos, least(s1, printf('%08d', left(u1, 8)::int + 3) || 'I' || u1[9:]) as s2, least(u1, printf('%08d', left(a1, 8)::int + 3) || 'I' || a1[9:]) as u2,
+      least(e1, printf('%08d', left(u1, 8)::int + 3) || 'I' || u1[9:]) as e2, least(a1, printf('%08d', left(u1, 8)::int + 3) || 'I' || u1[9:]) as a2
+    from (
+      select p.conv_id, k.pos,
+        least(printf('%08d', left(p.s, 8)::int + 4) || 'D' || p.s[9:], case when stay then least(ku, ru) end) as s1,
+        least(printf('%08d', left(p.u, 8)::int + 4) || 'D' || p.u[9:], case when stay then least(ka, ra) end) as u1,
+        least(printf('%08d', left(p.e, 8)::int + 4) || 'D' || p.e[9:], case when stay then least(ku, ru, ks) end) as e1,
+        least(printf('%08d', left(p.a, 8)::int + 4) || 'D' || p.a[9:], case when stay then least(ku, ru) end) as a1
+      from p join (
+        select conv_id, pos, i, fault not in ('blank', 'duplicate') as stay, case when fault = 'truncated' then 3 else 0 end as more from k
+      ) k on k.conv_id is not distinct from p.conv_id and k.pos = p.pos - 1,
+      lateral (select
+        case when i = 'u' then printf('%08d', left(p.u, 8)::int + more) || 'K' || p.u[9:] end as ku,
+        case when i = 'a' then printf('%08d', left(p.a, 8)::int + more) || 'K' || p.a[9:] end as ka,
+        case when i = 's' then printf('%08d', left(p.s, 8)::int + more) || 'K' || p.s[9:] end as ks,
+        printf('%08d', left(p.u, 8)::int + more + 3) || 'R' || p.u[9:] as ru,
+        printf('%08d', left(p.a, 8)::int + more + 3) || 'R' || p.a[9:] as ra)
+    )
+  )
+), best as (
+  select conv_id, left(e, 8)::bigint as cost, e[9:] as audit from p where pos = 1
+), l as (
+  select conv_id, audit, unnest(string_split(audit, '')) as letter, unnest(range(1, len(audit) + 1)) as seq from best where audit <> ''
+), o as (
+  select *, sum((letter <> 'I')::int) over (partition by conv_id order by seq rows unbounded preceding) as pos,
+    sum((letter <> 'D')::int) over (partition by conv_id order by seq rows unbounded preceding) as place
+  from l
+), w as (
+  select o.conv_id, seq, letter, place, k.role, case when letter = 'I' then '' else k.text end as text,
+    max(case when letter = 'K' and place = 1 and k.i = 's' then 1 else 0 end) over (partition by o.conv_id) as led
+  from o left join k on k.conv_id is not distinct from o.conv_id and k.pos = o.pos
+), h as (
+  select conv_id, sha256(string_agg(case when letter = 'K' then role when (place - led) % 2 = 1 then 'user' else 'assistant' end || ':' || text, chr(10) order by seq)) as sha
+  from w where letter <> 'D' group by conv_id
+), m as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || i not in ('su', 'ua', 'au')) as illegal
+  from (select *, lag(i) over (partition by conv_id order by pos) as before from k) group by conv_id
+)
+select a.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(audit, '') as audit, coalesce(sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) a
+left join m on m.conv_id is not distinct from a.conv_id
+left join best on best.conv_id is not distinct from a.conv_id
+left join h on h.conv_id is not distinct from a.conv_id
 """,
 }
