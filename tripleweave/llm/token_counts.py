@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import unicodedata
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,8 +20,8 @@ CODED = (
     "row long, doc_id long, n_bytes long, chunk long, base long, stop long, last boolean, n_tokens long, "
     "heads array<long>, head_counts array<long>, tails array<long>, tail_counts array<long>, text string"
 )
-#: Pieces between blanks up to this length are remembered, at most so many.
-SHORT_PIECE, REMEMBERED = 40, 200_000
+#: Token counts of pieces between blanks are remembered up to this length of a piece and this number of them.
+SHORT_PIECE, REMEMBERED = 40, 500_000
 
 
 class Tokens:
@@ -48,27 +49,32 @@ class Tokens:
     def encode(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
 
-    def count(self, text: str) -> int:
-        """Tokens of a text; pieces between blanks are encoded once and remembered."""
+    def learn(self, pieces: set[str]) -> None:
+        """Put the counts of pieces without blanks into ``counts``, from one encoding of all of them."""
+        some = sorted(pieces)
+        e, n, counts = self.encode(" ".join(some)), 0, [0] * len(some)
+        stops = list(accumulate(len(p) + 1 for p in some))
+        for start, _ in e.offsets:
+            while start >= stops[n]:
+                n += 1
+            counts[n] += 1
+        self.counts.update(zip(some, counts))
+
+    def count_all(self, texts: list[str]) -> list[int]:
+        """Tokens of each text; those of a piece between blanks are asked for once and remembered."""
         if not self.by_piece:
-            return len(self.encode(text))
-        known, total, fresh = self.counts, 0, []
-        for piece in text.split(" "):
-            n = known.get(piece)
-            if n is None:
-                fresh.append(piece)
-            else:
-                total += n
+            return [len(self.encode(t)) for t in texts]
+        known = self.counts
+        lists = [t.split(" ") for t in texts]
+        fresh = set().union(*lists) - known.keys()
         if fresh:
-            if len(known) > REMEMBERED:
-                known.clear()
-                known[""] = 0
-            for piece, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-                n = len(e)
-                total += n
-                if len(piece) <= SHORT_PIECE:
-                    known[piece] = n
-        return total
+            self.learn(fresh)
+        totals = [sum(map(known.__getitem__, pieces)) for pieces in lists]
+        room = len(known) <= REMEMBERED
+        for p in fresh:
+            if not room or len(p) > SHORT_PIECE:
+                del known[p]
+        return totals
 
     def boundaries(self, text: str, base: int) -> tuple[int, list[tuple[int, int]]]:
         """Number of tokens, and (position, tokens before it) of the starts of pre-tokens that normalisation leaves apart."""
@@ -82,6 +88,16 @@ class Tokens:
             at = max(at, stop)
         return len(words), found
 
+    def zone_boundaries(self, text: str, base: int, head: int, tail: int) -> tuple[int, list[tuple[int, int]]]:
+        """As ``boundaries``, for those before ``head`` and from ``tail`` on; what lies between two blanks between them is only counted."""
+        first, last = text.find(" ", head), text.rfind(" ", 0, tail)
+        if not self.by_piece or first < 0 or last <= first:
+            return self.boundaries(text, base)
+        n, found = self.boundaries(text[:first], base)
+        n += self.count_all([text[first + 1 : last]])[0]
+        more, rest = self.boundaries(text[last + 1 :], base + last + 1)
+        return n + more, found + [(p, n + k) for p, k in rest]
+
     def in_sight(self, text: str) -> int:
         """Boundaries before this position depend on nothing behind the text's end."""
         at = len(text)
@@ -132,7 +148,8 @@ def count_rows(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_of(path)
         for batch in batches:
-            counts = pa.array([tokens.count(t) for t in batch.column("text").to_pylist()], pa.int64())
+            texts = batch.column("text").to_pylist()
+            counts = pa.array([n for at in range(0, len(texts), 256) for n in tokens.count_all(texts[at : at + 256])], pa.int64())
             one, none = pa.array([1] * len(batch), pa.int64()), pa.array([0] * len(batch), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), counts, one, none], names=["doc_id", "n_bytes", "n_tokens", "n_chunks", "n_widened"])
 
@@ -158,7 +175,7 @@ def cut_rows(chunk: int, overlap: int):
 
 def coded(tokens: Tokens, base: int, text: str, last: bool, step: int, overlap: int) -> tuple:
     """Stop, tokens, boundaries in the head and in the tail zone, and the text where a splice is not sure to succeed."""
-    n, found = tokens.boundaries(text, base)
+    n, found = tokens.zone_boundaries(text, base, overlap if base else 0, len(text) if last else step)
     heads = [x for x in found if base and x[0] < base + overlap]
     most = base + tokens.in_sight(text)
     tails = [] if last else [x for x in found if base + step <= x[0] <= most]
