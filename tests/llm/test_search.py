@@ -5,13 +5,14 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 
 from .conftest import prose
-from tripleweave.llm import chain_dedup, decontaminate, suffix_dedup
+from tripleweave.llm import chain_dedup, decontaminate, queries, suffix_dedup
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -75,6 +76,22 @@ def test_contamination_drops_and_edges(spark, docs, texts, items, table_of):
     assert decontaminate.contamination(table_of([], name="e"), bench).count() == 0
 
 
+def test_contamination_by_items_without_id_equals_the_sql(spark, table_of):
+    rng = random.Random(8)
+    shared = [prose(rng, 15) for _ in range(3)]
+    rows = [(1, f"x {shared[0]} y"), (2, f"{shared[1]} and {shared[2]}"), (3, "k0 short one"), (4, prose(rng, 30)), (5, None), (None, shared[0])]
+    items = [(None, shared[0]), (None, shared[1]), (7, shared[2]), (None, "short one"), (8, None), (None, None)]
+    df, bench = table_of(rows), table_of(items, "item_id long, text string", "b")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    con.register("benchmark", bench.toArrow())
+    want = con.execute(f"select doc_id, n_words, n_hit, n_items, items_sha256, contaminated from ({queries.SQL['op3_decontaminate']}) where doc_id is not null").fetchall()
+    for block in (1, 1 << 20):
+        got = decontaminate.contamination(df, bench, block_bytes=block).where("doc_id is not null").collect()
+        assert {tuple(r[:6]) for r in got} == set(want)
+    assert next(r for r in want if r[0] == 1)[2:4] == (15, 1)
+
+
 def test_suffix_array_order():
     rng = np.random.RandomState(5)
     for n, kinds in ((1, 1), (50, 2), (300, 3), (300, 200)):
@@ -170,7 +187,7 @@ def test_shared_passages(docs, texts, stored):
 
 
 def test_shared_passages_salted_and_edges(docs, stored, table_of, spark):
-    df = stored(docs)
+    df = stored(docs, "all")
     by_words = {r.doc_id: (r.text or "").lower().split() for r in docs.select("doc_id", "text").collect()}
     held = {x for r in chain_dedup.shared_passages(df, counters=4000, salts=3).collect() for x in (r.doc_id, r.other_id)}
     runs = defaultdict(set)

@@ -122,6 +122,12 @@ def test_language_mixture(spark):
     other = df.selectExpr("doc_id", "text", "case when crc32(cast(doc_id as string)) % 4 = 2 then 'qq' else lang end as lang", "held_out")
     assert {r.doc_id: r for r in language_mixture.language_mixture(other).collect()} == got
     assert language_mixture.language_mixture(df.limit(0)).count() == 0
+    # a row's answer does not depend on the rows beside it
+    short = df.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([(5000 + i, t, None) for i, t in enumerate(["a", "é", "ab", "x", None, "1"])], "doc_id long, text string, lang string"))
+    each = [{r.doc_id: r for r in language_mixture.language_mixture(d).collect()} for d in (short.coalesce(1), short.repartition(64, "doc_id"))]
+    assert each[0] == each[1]
+    assert {(each[0][5000 + i].lang_pred, len(each[0][5000 + i].languages)) for i in (4, 5)} == {("und", 0)}
+    assert len({each[0][5000 + i].score for i in (0, 3)}) == 1
     assert {r.lang_pred for r in language_mixture.language_mixture(df.selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()} == {"und"}
 
 

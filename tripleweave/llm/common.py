@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
 
 def shards(batch: pa.RecordBatch, column: str, most: int = SHARD):
     """Slices of a batch whose ``column`` holds at most ``most`` bytes, or one row."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)).astype(np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
     ends = np.cumsum(sizes)
     start = 0
     while start < len(sizes):

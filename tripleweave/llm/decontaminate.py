@@ -177,7 +177,7 @@ def scan(items: Items):
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int) -> Iterator[Items]:
     """The items in blocks of ``block_bytes`` of text (or one item); each row passes the driver once, none is kept."""
     ids, texts, size = [], [], 0
-    rows = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), text_col)
+    rows = benchmark.select(F.col(id_col).cast("string"), text_col)
     for item, text in rows.toLocalIterator():
         if ids and size + len(text or "") > block_bytes:
             yield Items(ids, texts, window)
@@ -199,8 +199,9 @@ def contamination(
     longest match that some item suffix has in the shard, where it stands in
     this document). ``window`` consecutive item words, or a whole shorter
     item, are hit wherever they stand. Null or wordless texts have no words
-    and no hits; a null item id is left out, a repeated item id counts once;
-    an empty benchmark hits nothing. Repeated documents each get their row.
+    and no hits. A repeated item id counts once, and so do all items whose id
+    is null: their windows hit, they are one of the items (null in ``items``),
+    and the digest leaves them out. An empty benchmark hits nothing. Repeated documents each get their row.
 
     Every task builds suffix arrays of its documents, a few MB at a time, and
     binary-searches every item suffix in them; nothing is shuffled. The

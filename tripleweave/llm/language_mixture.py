@@ -152,8 +152,6 @@ def predict(languages: list[str], p: np.ndarray, penalty: float, rounds: int):
                 if len(key) and languages:
                     starts = runs(mine)
                     share[mine[starts[:-1]]] = infer(counts, starts, table[key % BUCKETS], penalty, rounds)
-                elif languages:
-                    share[:, 0] = 1
                 bare = (share.sum(axis=1) == 0) & bool(languages)
                 if bare.any():  # shorter than a trigram: nothing tells languages apart
                     share[bare] = 1 / len(languages)

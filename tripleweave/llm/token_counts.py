@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import accumulate
@@ -24,6 +26,12 @@ CODED = (
 SHORT_PIECE, REMEMBERED = 40, 500_000
 
 
+#: A word of letters that composition leaves as they are and lower case maps to one letter, with punctuation behind it.
+WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-/:-@\[-`{-~]*)")
+#: Fixed value: the pre-tokens of the word vocabulary; of such a word its letters are one, and the punctuation another.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class Tokens:
     """A tokenizer file with what the splicing must know about it."""
 
@@ -38,20 +46,50 @@ class Tokens:
         #: A boundary this far from a chunk's end has been passed with all it depends on in sight.
         self.margin = max([3, *map(len, special)]) + 1
         #: The first piece between blanks may be taken alone, if no special string holds a blank.
-        self.by_piece = not any(" " in s for s in special) and self.blank_is_lost()
+        self.by_piece = not any(" " in s or "\n" in s for s in special) and self.blank_is_lost()
         self.counts: dict[str, int] = {}
+        self.parts: dict[str, int] = {}
+        self.by_word = self.by_piece and self.words_are_pre_tokens()
+
+    def words_are_pre_tokens(self) -> bool:
+        """Whether the file normalises and splits just so that the letters of ``WORD``, in lower case, go to its model as they are."""
+        from tokenizers import pre_tokenizers
+
+        parts = json.loads(self.tokenizer.to_str())
+        steps = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        split, *bytes_ = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)
+        return (
+            steps == ["NFC", "Replace", "Lowercase"] and [b["type"] for b in bytes_] == ["ByteLevel"] and not bytes_[0]["use_regex"]
+            and split.get("pattern") == {"Regex": WORD_PATTERN} and split["behavior"] == "Removed" and split["invert"]
+        )
 
     def blank_is_lost(self) -> bool:
         """Whether blanks only separate: they give no token and change none behind them."""
-        one, two = (self.tokenizer.encode(s, add_special_tokens=False).ids for s in ("ab", " ab  "))
+        one, two = (self.tokenizer.encode(s, add_special_tokens=False).ids for s in ("ab cd", " ab\n cd  "))
         return one == two
 
     def encode(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
 
+    def part(self, part: str) -> int:
+        """Tokens of one pre-token in lower case."""
+        n = self.parts.get(part)
+        if n is None:
+            n = len(self.tokenizer.model.tokenize(part if part.isascii() else self.as_bytes.pre_tokenize_str(part)[0][0]))
+            if len(self.parts) < REMEMBERED:
+                self.parts[part] = n
+        return n
+
     def learn(self, pieces: set[str]) -> None:
-        """Put the counts of pieces without blanks into ``counts``, from one encoding of all of them."""
-        some = sorted(pieces)
+        """Put the counts of pieces without blanks into ``counts``: of words from the model, of the others from one encoding of all of them."""
+        some = []
+        for p in pieces:
+            word = WORD.fullmatch(p) if self.by_word else None
+            if word:
+                self.counts[p] = self.part(word[1].lower()) + (self.part(word[2]) if word[2] else 0)
+            else:
+                some.append(p)
         e, n, counts = self.encode(" ".join(some)), 0, [0] * len(some)
         stops = list(accumulate(len(p) + 1 for p in some))
         for start, _ in e.offsets:
@@ -61,12 +99,12 @@ class Tokens:
         self.counts.update(zip(some, counts))
 
     def count_all(self, texts: list[str]) -> list[int]:
-        """Tokens of each text; those of a piece between blanks are asked for once and remembered."""
+        """Tokens of each text; those of a piece between blanks or line ends are asked for once and remembered."""
         if not self.by_piece:
             return [len(self.encode(t)) for t in texts]
         known = self.counts
-        lists = [t.split(" ") for t in texts]
-        fresh = set().union(*lists) - known.keys()
+        lists = [t.replace("\n", " ").split(" ") for t in texts]
+        fresh = set().union(*lists).difference(known)
         if fresh:
             self.learn(fresh)
         totals = [sum(map(known.__getitem__, pieces)) for pieces in lists]
