@@ -93,8 +93,10 @@ def test_index_files_are_bounded_and_sorted(spark, tmp_path):
         spark.sql("drop table tripleweave_postings")
 
 
-def test_lexicon_search_moves_no_text(spark):
+def test_lexicon_join_runs_in_the_engine(spark):
     words = tagging.lexicon_table(spark, [("c", ["ing"], "e"), ("c", ["the"], "f")])
-    assert "Exchange" not in tree(tagging.tag_by_join(documents(spark), words, "doc_id"))
-    parts = tree(tagging.tag_by_join(documents(spark), words, "doc_id", part_keywords=1))
-    assert "Join" not in parts and parts.index("Exchange") < parts.index("Generate")
+    sent = tree(tagging.tag_by_join(documents(spark), words, "doc_id"))
+    dealt = tree(tagging.tag_by_join(documents(spark), words, "doc_id", most_sent=0))
+    assert "Python" not in sent + dealt and "Arrow" not in sent + dealt and "NestedLoop" not in sent + dealt
+    # a sent lexicon meets the substrings before anything is shuffled
+    assert "BroadcastHashJoin" in sent

@@ -102,7 +102,7 @@ def test_failing_tokenizer_falls_back(spark):
 def test_numbering_with_a_hot_file(spark):
     rows = [("10.txt", "x. " * 300), ("9.txt", "a. b."), ("1.txt", "c."), ("empty.txt", "")]
     docs = spark.createDataFrame(rows, "file string, text string")
-    numbered = chunking.number_chunks(chunking.chunk_documents(docs, budget=2)).orderBy("id").collect()
+    numbered = chunking.numbered_chunks(docs, "file", budget=2).orderBy("id").collect()
     assert [r.id for r in numbered] == list(range(1, len(numbered) + 1))
     assert [(r.file, r.chunk_index) for r in numbered] == sorted((r.file, r.chunk_index) for r in numbered)
     assert numbered[0].file == "1.txt" and numbered[-1].text == "a.b."

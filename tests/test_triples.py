@@ -102,6 +102,28 @@ def test_tagging_ways_agree(spark):
     table = spark.createDataFrame([("A", "规" + "é" * 30 + "划", "span"), ("B", "城市", "end"), ("C", "划城", "mid"), ("D", "规划", "no")],
                                   "category string, keyword string, entity string")
     assert {r.entity for r in tagging.tag_by_join(long, table, "rec").collect()} == {"span", "end", "mid"}
+    wide = spark.createDataFrame([(1, "a" * (tagging.WINDOW - 2) + "xyz" + "b" * tagging.WINDOW + "é"), (2, None), (3, "xy z")], "rec int, text string")
+    odd = spark.createDataFrame([("A", "xyz", "cut"), ("B", "é", "last"), ("C", None, "none"), ("D", "xyzz", "no")], "category string, keyword string, entity string")
+    for most in (0, 100):
+        assert {(r.rec, r.entity) for r in tagging.tag_by_join(wide, odd, "rec", most_sent=most).collect()} == {(1, "cut"), (1, "last")}
+    assert tagging.tag_by_join(wide, odd.limit(0), "rec").count() == tagging.tag_by_join(wide.limit(0), odd, "rec").count() == 0
+
+
+def test_the_rarest_part_of_a_keyword_is_its_anchor(spark):
+    words = [("c", f"{a}tion", "e") for a in ("na", "sta", "mo", "por")] + [("c", "ab", "e"), ("c", "nation", "f"), ("c", "", "e")]
+    found = tagging.anchored(spark.createDataFrame(words, "category string, keyword string, entity string"), 3)
+    anchors = {r.keyword: r.anchor for r in found.collect()}
+    assert anchors == {"nation": "ati", "station": "sta", "motion": "mot", "portion": "ort", "ab": "ab", "": ""}
+    assert found.count() == len(words)
+
+
+def test_relation_keywords_from_a_table(spark):
+    rels = ["促进", "推进", "完成", "采用", "位于", None, "规划建设", "x", "", "demo"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rels * 3)], "rec int, rel string")
+    table = spark.createDataFrame([(k,) for k in L.RELATION_KEYWORDS], "keyword string")
+    want = sorted(r.rec for r in df.filter(R.contains_any(F.col("rel"), L.RELATION_KEYWORDS)).collect())
+    for most in (0, 100):
+        assert sorted(r.rec for r in tagging.relations_with_keyword(df, table, most_sent=most).collect()) == want
 
 
 def test_a_long_lexicon_gives_the_same_in_every_form(spark):
@@ -113,8 +135,8 @@ def test_a_long_lexicon_gives_the_same_in_every_form(spark):
     rows = lambda d: sorted((r.category, r.entity, r.doc_id) for r in d.collect())
     assert rows(tagging.tag_entities(df, "doc_id", lexicon=lexicon)) == sorted(inline)
     table = spark.createDataFrame([(c, w, e) for c, words, e in lexicon for w in words], "category string, keyword string, entity string")
-    for part in (100_000, 900):
-        assert rows(tagging.tag_by_join(df, table, "doc_id", part_keywords=part)) == sorted(inline)
+    for options in ({}, {"most_sent": 900}, {"most_sent": 0, "longest": 2, "salts": 3}):
+        assert rows(tagging.tag_by_join(df, table, "doc_id", **options)) == sorted(inline)
     records = flows.rule_records(df.where("length(text) > 0"), "doc_id", lexicon=lexicon)
     assert rows(tagging.explode_entities(records, "doc_id")) == sorted(x for x in inline if texts[x[2]])
 

@@ -9,7 +9,8 @@ long.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import sys
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,6 +47,37 @@ def annotate_tokens(df: DataFrame, load: Callable[[], Callable[[str], list[dict]
     return df.withColumn("tokens", tokens.asNondeterministic()(F.col(text)))
 
 
+def model_ladder(names: Sequence[str | None], open_model: Callable[[str], Callable[[str], list[dict]]]) -> Callable[[], Callable[[str], list[dict]]]:
+    """Loader of the first model that can be opened; ``open_model`` gets one name after the other, None is passed over.
+
+    The model is opened once in a Python worker and kept there for all its
+    tasks, as is the choice. If none can be opened, the last error is raised
+    with notes of the earlier ones.
+    """
+    wanted = tuple(n for n in names if n is not None)
+    if not wanted:
+        raise ValueError("no model is named")
+
+    def load() -> Callable[[str], list[dict]]:
+        kept = sys.__dict__.setdefault("_tripleweave_models", {})  # functions travel by value, a module's own globals would not last
+        key = (wanted, open_model.__module__, open_model.__qualname__)
+        if key not in kept:
+            errors: list[Exception] = []
+            for name in wanted:
+                try:
+                    kept[key] = open_model(name)
+                    break
+                except Exception as e:
+                    errors.append(e)
+            else:
+                for name, e in zip(wanted, errors[:-1]):
+                    errors[-1].add_note(f"{name}: {type(e).__name__}: {e}")
+                raise errors[-1]
+        return kept[key]
+
+    return load
+
+
 def whitespace_tagger() -> Callable[[str], list[dict]]:
     """Loader of a deterministic stand-in for a parser.
 

@@ -7,8 +7,8 @@ canonical entity once if any of its keywords occurs in it.
   the plan, no join, no shuffle. A short one is a projection of substring
   tests; a long one, whose projection would read the text once per keyword, is
   an automaton over all keywords, built once per worker. Both give the same.
-* ``tag_by_join``: the lexicon is a table of any size, searched in parts of a
-  bounded number of keywords; texts stay where they are and only hits leave.
+* ``tag_by_join``: the lexicon is a table of any size; each keyword is joined by
+  a rare substring of its own with those of the texts, and verified there.
 """
 
 from __future__ import annotations
@@ -27,6 +27,10 @@ Lexicon = Sequence[tuple[str, Sequence[str], str]]
 #: Up to so many keywords are tested one by one; beyond, an automaton is quicker. The results are the same.
 PROJECTED_KEYWORDS = 256
 HITS = "array<struct<category:string,entity:string>>"
+#: Lexicon rows that a join by substrings sends to every task (some 200 bytes each); longer lexicons are dealt like the texts.
+MOST_SENT = 100_000
+#: Characters of a text whose substrings are made at once.
+WINDOW = 4096
 
 
 def keyword_count(lexicon: Lexicon) -> int:
@@ -122,33 +126,73 @@ def lexicon_table(spark: SparkSession, lexicon: Lexicon) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def tag_by_join(
-    chunks: DataFrame, lexicon: DataFrame, *keys: str, text: str = "text", part_keywords: int = 100_000
+def grams(text: Column, length: int) -> Column:
+    """All substrings of ``length`` characters, one for each place."""
+    if not length:
+        return F.array(F.lit(""))
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
+
+
+def anchored(lexicon: DataFrame, longest: int) -> DataFrame:
+    """Lexicon rows with ``anchor``: the substring of ``longest`` characters (all of a shorter keyword) that the fewest keywords have.
+
+    Counted over all keywords, so an ending that thousands of keywords share
+    anchors none of those that have a rarer part.
+    """
+    words = lexicon.select("keyword").where("keyword is not null").distinct()
+    parts = F.when(F.length("keyword") > longest, grams(F.col("keyword"), longest)).otherwise(F.array("keyword"))
+    some = words.select("keyword", F.explode(F.array_distinct(parts)).alias("gram"))
+    shared = some.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = some.join(shared, "gram").groupBy("keyword").agg(F.min(F.struct("n", "gram")).alias("_rarest"))
+    return lexicon.join(rarest, "keyword").select("category", "keyword", "entity", F.col("_rarest.gram").alias("anchor"))
+
+
+def containing(
+    texts: DataFrame, lexicon: DataFrame, *keys: str, text: str = "text", longest: int = 3, salts: int = 16, most_sent: int = MOST_SENT
 ) -> DataFrame:
-    """Tag with a lexicon table (category, keyword, entity) of any size.
+    """Pairs of a text and a lexicon row whose keyword it contains: keys, category, keyword, entity, each once.
 
-    The lexicon passes the driver in parts of ``part_keywords`` rows, and each
-    part is one search over the texts: no text is shuffled, and rows are made
-    for hits only. Keywords of one entity may lie in different parts, so with
-    more than one part equal hits are merged.
+    Every keyword is joined by its anchor with the substrings of the texts,
+    which are cut into windows first, and the lexicon rows that meet a text
+    are verified on it. ``keys`` must tell the texts apart.
+
+    The number of lexicon rows is counted first. Up to ``most_sent`` they are sent to
+    every task, and only substrings that are an anchor leave it. A longer lexicon is dealt, like the
+    substrings, by (anchor, salt), so one that most texts have
+    is spread over ``salts`` parts, which a skew join may split further.
+    """
+    size = lexicon.where("keyword is not null").agg(F.count("*").alias("n"), F.collect_set(F.least(F.length("keyword"), F.lit(longest))).alias("lengths")).first()
+    rows = texts.where(F.col(text).isNotNull())
+    start = F.explode(F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(WINDOW)))
+    windows = rows.select(*keys, text, start.alias("_from")).select(*keys, F.expr(f"substring({text}, _from + 1, {WINDOW + longest - 1})").alias("_window"))
+    every = F.flatten(F.array(*[grams(F.col("_window"), n) for n in sorted(size["lengths"])])) if size["lengths"] else F.array().cast("array<string>")
+    parts = windows.select(*keys, F.explode(every).alias("anchor"))
+    words = anchored(lexicon, longest)
+    if size["n"] <= most_sent:
+        met = parts.join(F.broadcast(words), "anchor")
+    else:
+        salt = F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
+        met = parts.withColumn("salt", salt).join(words.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["anchor", "salt"])
+    met = met.groupBy(*keys).agg(F.collect_set(F.struct("category", "keyword", "entity")).alias("_met"))
+    found = met.join(rows.select(*keys, text), list(keys))
+    return found.select(*keys, F.inline(F.filter("_met", lambda m: F.contains(F.col(text), m["keyword"]))))
+
+
+def tag_by_join(chunks: DataFrame, lexicon: DataFrame, *keys: str, **options) -> DataFrame:
+    """Tag with a lexicon table (category, keyword, entity) of any size: keys, category, entity, each once.
+
+    ``options`` are those of ``containing``. Rows without a keyword, and texts
+    that are NULL, give nothing; the empty keyword is in every text.
     """
+    return containing(chunks, lexicon, *keys, **options).select(*keys, "category", "entity").distinct()
+
 
-    def parts() -> Iterator[list]:
-        held = []
-        for row in lexicon.select("category", "keyword", "entity").where("keyword is not null").toLocalIterator():
-            held.append((row.category, [row.keyword], row.entity))
-            if len(held) == part_keywords:
-                yield held
-                held = []
-        yield held
-
-    found, many = None, False
-    for part in parts():
-        merged: dict[tuple, list[str]] = {}
-        for category, words, entity in part:
-            merged.setdefault((category, entity), []).extend(words)
-        entries = [(category, words, entity) for (category, entity), words in merged.items()]
-        rows = chunks.select(*keys, F.inline(automaton_hits(entries)(F.col(text))))
-        many = found is not None
-        found = rows if found is None else found.unionByName(rows)
-    return found.distinct() if many else found
+def relations_with_keyword(triples: DataFrame, keywords: DataFrame, rel: str = "rel", **options) -> DataFrame:
+    """Triples whose relation holds one of the keywords in a table (a column ``keyword``) of any size.
+
+    Keywords are searched in the distinct relations; triples are semi-joined with those that have one.
+    """
+    names = triples.select(F.col(rel).alias("_rel")).where("_rel is not null").distinct()
+    lexicon = keywords.select("keyword", F.lit("").alias("category"), F.lit("").alias("entity"))
+    good = containing(names.withColumn("_text", F.col("_rel")), lexicon, "_rel", text="_text", **options)
+    return triples.join(good.select("_rel").distinct(), F.col(rel) == F.col("_rel"), "left_semi")

@@ -12,9 +12,11 @@ from ..functions import json as J
 from ..functions import relations as R
 from ..functions import text as X
 from ..operators import (
-    chunking, cleaning, graph, index, inference, prompting, stats, syntax, tagging, triples,
+    chunking, cleaning, edge_store, graph, index, inference, ledger, prompting, stats, stored_index, syntax, tagging, triples,
 )
-from ..sources.tables import read_table
+from ..sources.json_arrays import write_json_texts
+from ..sources.storage import fresh_folder, stage
+from ..sources.tables import read_chunks, read_entities, read_table, read_text_files, read_triplet_records, write_table
 from . import flows, stand_ins
 from . import views as V
 
@@ -55,6 +57,28 @@ def assemble_pages(spark, sf):
     return chunking.assemble_pages(pages, "doc_id", "turn")
 
 
+@query("""select doc_id // 100 as part, string_agg(text || chr(10), '' order by doc_id) as text from documents group by 1""")
+def src_text_files(spark, sf):
+    """Text files of a hundred documents each, written and read whole."""
+    path = fresh_folder(spark, "text_files")
+    docs = read_table(spark, sf, "documents").select("doc_id", F.expr("doc_id div 100").alias("part"), "text")
+    docs.repartition("part").sortWithinPartitions("part", "doc_id").select("part", F.col("text").alias("value")).write.partitionBy("part").text(path)
+    files = read_text_files(spark, f"{path}/part=*/*.txt")
+    return files.select(F.regexp_extract("source", r"/part=(\d+)/[^/]*$", 1).cast("bigint").alias("part"), "text")
+
+
+@query("select doc_id as id, source || '.txt' as file, cast(n_chars as bigint) as chunk_index, source, text from documents")
+def read_chunk_arrays(spark, sf):
+    """Chunk tables as JSON arrays, written one a task and read in blocks."""
+    path = fresh_folder(spark, "chunk_arrays")
+    docs = read_table(spark, sf, "documents")
+    chunks = docs.select(
+        F.col("doc_id").alias("id"), F.concat("source", F.lit(".txt")).alias("file"), F.col("n_chars").cast("int").alias("chunk_index"), "source", "text"
+    )
+    write_table(chunks, path, "json_array")
+    return read_chunks(spark, path).select("id", "file", big("chunk_index"), "source", "text")
+
+
 def _lines(*drop) -> Query:
     return lambda spark, sf: chunking.explode_lines(V.noisy(spark, sf), "doc_id", drop).select(
         "doc_id", big("line_no"), "line"
@@ -151,6 +175,14 @@ deps as (
   from tokens c join tokens h on h.doc_id = c.doc_id and h.i = c.head_i where not c.is_space)"""
 
 
+@query(_TOKENS + " select doc_id, i, text, 'small' as tag, dep, head_i from tokens")
+def annotate_tokens_ladder(spark, sf):
+    """The first of two models cannot be opened."""
+    load = syntax.model_ladder([None, "large", "small"], stand_ins.open_tagger)
+    rows = syntax.annotate_tokens(V.noisy(spark, sf).select("doc_id", "text"), load).select("doc_id", F.inline("tokens"))
+    return rows.select("doc_id", big("i"), "text", "tag", "dep", big("head_i"))
+
+
 @query(_DEPS + " select doc_id, child_i as i, child_text as text, pos, dep, head_i, head_text from deps")
 def syntax_tokens(spark, sf):
     rows = _annotated(spark, sf).select("doc_id", F.inline(syntax.token_list(F.col("tokens"))))
@@ -278,6 +310,18 @@ def infer_stub(spark, sf):
     return answers.select("doc_id", "response", "failure")
 
 
+@query(_TAG_MAP + f""" select doc_id, '{{"chars": ' || length({_sql_filled(L.NER_USER, text='text')}) || '}}' as response,
+  cast(null as varchar) as failure, cast(case when contains(text, '今天') then 2 else 1 end as bigint) as tries from docs""")
+def infer_ledger(spark, sf):
+    """A first run whose model fails on some texts, and a second one that asks for these only."""
+    answers = ledger.Ledger(spark, fresh_folder(spark, "ledger"))
+    chat = prompting.render_ner(V.chinese(spark, sf).select("doc_id", "text"))
+    ledger.ask(chat, answers, stand_ins.counting_model, tries=1, wait=0.0, on_error="record", at_once=4)
+    asked = ledger.ask(chat, answers, stand_ins.patient_model, tries=1, wait=0.0, on_error="record", at_once=4)
+    keyed = asked.withColumn("key", ledger.request_key())
+    return keyed.join(answers.read().select("key", "tries"), "key").select("doc_id", "response", "failure", "tries")
+
+
 # --- parsing -------------------------------------------------------------------------
 
 
@@ -397,6 +441,15 @@ def tag_entities_cjk(spark, sf):
     return tagging.tag_entities(V.chinese(spark, sf), "doc_id")
 
 
+@query(_LATIN + " select doc_id, category, entity from tags")
+def read_entity_arrays(spark, sf):
+    """Entity tables as JSON arrays, read in blocks."""
+    path = fresh_folder(spark, "entity_arrays")
+    records = tagging.tag_records(V.documents(spark, sf).select(F.col("doc_id").alias("id"), "text"), V.LATIN_LEXICON)
+    write_table(records, path, "json_array")
+    return tagging.explode_entities(read_entities(spark, path), "id").select(F.col("id").alias("doc_id"), "category", "entity")
+
+
 @query(_LATIN + " select category, count(*) as n from tags group by category")
 def entity_type_counts(spark, sf):
     return stats.entity_type_counts(tag_entities(spark, sf))
@@ -488,6 +541,15 @@ def explode_triplets(spark, sf):
     return cleaning.explode_items(V.records_json(spark, sf), "rec").withColumn("pos", big("pos"))
 
 
+@query(f"with {V.SQL_ITEMS} select rec as id, pos, head, rel, tail from parted")
+def read_triplet_arrays(spark, sf):
+    """Triplet tables, lists and error objects mixed, as JSON arrays, read in blocks."""
+    path = fresh_folder(spark, "triplet_arrays")
+    texts = F.format_string('{"id": %d, "text": "a {\\"b\\"},{ c", "triplets": %s}', "rec", "raw")
+    write_json_texts(V.records_json(spark, sf).select(texts.alias("value")), path)
+    return cleaning.explode_items(read_triplet_records(spark, path), "id").withColumn("pos", big("pos"))
+
+
 @query(f"""with {V.SQL_RECORDS} select rec, raw->>'$.error' as error from records
 where json_type(raw) = 'OBJECT' and json_exists(raw, '$.error')""")
 def clean_parse_errors(spark, sf):
@@ -503,6 +565,13 @@ def valid_entity(spark, sf):
     return counted.withColumn("valid", R.valid_entity(F.col("value")))
 
 
+@query(f"with {V.SQL_CLEAN_CANDIDATES} select rec, pos, rel from cand where {V.sql_keyword('rel')}")
+def relation_keywords_join(spark, sf):
+    """Relations that hold one of the keywords of a table."""
+    words = spark.range(1).select(F.explode(F.array(*map(F.lit, L.RELATION_KEYWORDS))).alias("keyword"))
+    return tagging.relations_with_keyword(V.candidates(spark, sf), words).select("rec", "pos", "rel")
+
+
 @query(f"""with {V.SQL_CANDIDATES}, raw as (select rec, pos, ' ' || rel || chr(12288) as rel from cand),
 trimmed as (select rec, pos, rel, {V.sql_strip('rel')} as r from raw)
 select rec, pos, rel, {V.SQL_NORM} as rel_norm from trimmed""")
@@ -647,6 +716,21 @@ def index_lookup(spark, sf):
     return _posting_columns(index.lookup(_posted(spark, sf), "Supplier#000000007"))
 
 
+@query(_POSTINGS + """ select entity, rec, pos, cast(role as bigint) as role, head, rel, tail, true as pruned
+from posted where entity in ('Supplier#000000007', 'Supplier#000000003')""")
+def index_stored_lookup(spark, sf):
+    """An index on disk of a main part and three deltas, two of them merged; ``pruned``: not all files were opened."""
+    wanted = ["Supplier#000000007", "Supplier#000000003"]
+    posted = stage(_posted(spark, sf), "postings")
+    stored = stored_index.StoredIndex(spark, fresh_folder(spark, "index"), "rec", "pos", "role", file_rows=2_000_000)
+    for k in range(4):
+        stored.add(posted.where(F.col("rec") % 16 >= 3) if k == 0 else posted.where(F.col("rec") % 16 == k - 1), f"batch{k}", files=16 if k == 0 else 2)
+    stored.merge(fanout=3)
+    stored.add(posted, "batch1")  # is there already
+    opened = stored.files_read(wanted).select((F.col("opened") < F.col("files")).alias("pruned"))
+    return _posting_columns(stored.lookup(wanted)).join(opened)
+
+
 # --- graph -----------------------------------------------------------------------------
 
 _EDGES = _GRAPH_ROWS + f""",
@@ -680,6 +764,24 @@ def graph_merge_incremental(spark, sf):
     return graph.merge_edges(first, second)
 
 
+@query(_EDGES + """, batches as (
+  select 1 as batch, * from typed where rec % 2 = 0 union all select 2, * from typed where rec % 2 = 1
+  union all select 3, * from typed where rec % 3 = 0),
+parts as (select head, rel_type, tail, batch, arg_max(rel, {'r': rec, 'p': pos, 'n': rel}) as rel_name from batches group by 1, 2, 3, 4)
+select head, rel_type, tail, arg_max(rel_name, batch) as rel_name from parts group by 1, 2, 3""")
+def graph_store_imports(spark, sf):
+    """A graph on disk: a batch, the same one again, a second and a third import, merged in between."""
+    rows = stage(_graph_rows(spark, sf), "graph_rows")
+    store = edge_store.EdgeStore(spark, fresh_folder(spark, "graph"), file_rows=2_000_000)
+    first = rows.where(F.col("rec") % 2 == 0)
+    store.import_batch(first, "first", "rec", "pos")
+    store.import_batch(first, "first", "rec", "pos")
+    store.import_batch(rows.where(F.col("rec") % 2 == 1), "second", "rec", "pos")
+    store.compact(fanout=2)
+    store.import_batch(rows.where(F.col("rec") % 3 == 0), "third", "rec", "pos")
+    return store.edges()
+
+
 @query(_GRAPH_ROWS + """, ends as (
   select distinct supp % 2 as batch, unnest([head, tail]) as name from graph_rows where tail is not null)
 select name from ends where batch = 1 and name not in (select name from ends where batch = 0)""")
@@ -777,6 +879,19 @@ def rules_to_index(spark, sf):
     return rows.select("entity", "doc_id", big("chunk_index"), big("pos"), big("role"), "head", "rel", "tail")
 
 
+@query(f"""with recursive {V.SQL_CHINESE}, {V.sql_chunks('chinese')},
+words as (select doc_id, chunk_index, list_filter(string_split(replace(text, chr(10), ' ' || chr(10) || ' '), ' '), lambda w: w <> '') as l from chunks),
+tokens as (select doc_id, chunk_index, generate_subscripts(l, 1) as i, unnest(l) as text from words)
+select doc_id, cast(chunk_index as bigint) as chunk_index,
+  string_agg(text || case when i = 1 then '(ROOT)' else '(dep)' end, ' -> ' order by i) as dep,
+  string_agg(text || case when text in ('.', ',') then '(PUNCT)' else '(WORD)' end, ' ' order by i) as con_pos
+from tokens where text <> chr(10) group by 1, 2""")
+def rules_with_syntax(spark, sf):
+    """Records of the rules with the syntax of their chunk."""
+    records = flows.rule_records(V.chinese(spark, sf), "doc_id", parser=syntax.whitespace_tagger)
+    return records.select("doc_id", big("chunk_index"), "syntax.dep", "syntax.con_pos")
+
+
 @query(f"""with recursive {V.SQL_CHINESE}, {V.sql_chunks('chinese')},
 asked as (select doc_id, cast(chunk_index as bigint) as chunk_index,
   case when contains(text, '城市北部') then 'good' when contains(text, '建筑设计') then 'bad' when contains(text, '发展目标') then 'fail'

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as L
 from ..functions.text import DEFAULT_BUDGET
-from ..operators import chunking, cleaning, graph, index, inference, prompting, syntax, tagging, triples
+from ..operators import chunking, cleaning, graph, index, inference, ledger, prompting, syntax, tagging, triples
 from ..sources.storage import stage
 
 
@@ -52,6 +52,8 @@ def model_records(
     wait: float = 1.0,
     at_once: int = 1,
     run: str | None = None,
+    answers: ledger.Ledger | None = None,
+    model: str = "",
 ) -> DataFrame:
     """Documents to records by two model calls per chunk.
 
@@ -65,16 +67,24 @@ def model_records(
 
     The answers are stored after each call; with a ``run`` name under that
     name, and a later call with the same name and folder takes them from
-    there, so a new driver asks for nothing twice. ``at_once`` calls run at a
-    time in each worker.
+    there, so a new driver asks for nothing twice. With ``answers`` each task's answers
+    are kept in that ledger, under their request and the name of the ``model``, as soon as the task ends,
+    and no request is made that it holds. ``at_once`` calls run at a time in each worker.
     """
     lenient = mode == "lenient"
     calls = {"tries": tries, "wait": wait, "on_error": "default" if lenient else "raise", "at_once": at_once}
+
+    def asked_for(prompts: DataFrame, load: Callable, name: str, default: str) -> DataFrame:
+        if answers is None:
+            return stage(inference.infer(prompts, load, default=default, **calls).drop("messages"), name, run)
+        prompts = stage(prompts, f"{name}_asked")
+        return ledger.ask(prompts, answers, load, model=f"{name} {model}", default=default, **calls).drop("messages")
+
     chunks = chunking.chunk_documents(docs.select(*keys, "text"), budget)
     if lenient:
         chunks = inference.prefilter_short_text(chunks)
-    asked = inference.infer(prompting.render_ner(chunks, mode, hub), ner, default="{}", **calls)
-    tagged = inference.parse_entities(stage(asked.drop("messages", "failure"), "entities", run), mode)
+    asked = asked_for(prompting.render_ner(chunks, mode, hub), ner, "entities", "{}")
+    tagged = inference.parse_entities(asked.drop("failure"), mode)
     tagged = tagged.drop("response").withColumnsRenamed({"error": "entities_error", "raw": "entities_raw"})
     if lenient:
         tagged = inference.prefilter_has_entities(tagged)
@@ -83,8 +93,7 @@ def model_records(
         calls["on_error"] = "record"
     else:
         prompts = prompting.render_re(tagged, mode, hub)
-    answered = stage(inference.infer(prompts, extract, default="[]", **calls).drop("messages"), "triplets", run)
-    parsed = inference.parse_triplets(answered, mode)
+    parsed = inference.parse_triplets(asked_for(prompts, extract, "triplets", "[]"), mode)
     records = parsed.withColumn("error", F.coalesce("failure", "error")).drop("failure", "response")
     return link_model_records(records, hub) if lenient else records
 

@@ -15,6 +15,21 @@ def counting_model():
     return answer
 
 
+def patient_model():
+    """Answers as ``counting_model``, and on every sentence."""
+    return lambda messages: '{"chars": %d}' % len(messages[-1]["content"])
+
+
+def open_tagger(name: str):
+    """A tagger by its name; only one of two can be opened, and it marks its tokens with its name."""
+    from ..operators.syntax import whitespace_tagger
+
+    if name != "small":
+        raise OSError(f"no model {name}")
+    parse = whitespace_tagger()
+    return lambda text: [t | {"tag": name} for t in parse(text)]
+
+
 def entity_model():
     """Answers one fenced entity object."""
     return lambda messages: '```json\n{"Location": ["x"]}\n```'

@@ -249,15 +249,20 @@ cand as (
 SQL_NORM = """case when regexp_matches(r, '推进|促进|推动') then '推进' when regexp_matches(r, '实现|完成') then '实现'
   when regexp_matches(r, '发展|建设') then '发展' when regexp_matches(r, '规划|计划') then '规划活动' else r end"""
 SQL_VALID = """((length({0}) <> 1 or {0} in ('北','南','东','西','中','上','下')) and regexp_matches({0}, '[\\p{{L}}\\p{{N}}]'))"""
+KEYWORDS = "推进|促进|推动|实现|完成|发展|建设|规划|计划|采用|覆盖|建立|设置|改善|增加|实施"  # fixed values, spelled out for the SQL
 SQL_REASON = f"""case
   when h is null or r is null or t is null then 'bad_format'
   when h = '' or r = '' or t = '' or regexp_matches(h || chr(10) || r || chr(10) || t, '演示|示例|三元组|demo') then 'placeholder'
   when h = t then 'head_eq_tail'
   when not ({SQL_VALID.format('h')} and {SQL_VALID.format('t')}) then 'invalid_entity'
-  when not regexp_matches(r, '推进|促进|推动|实现|完成|发展|建设|规划|计划|采用|覆盖|建立|设置|改善|增加|实施') then 'rel_no_keyword'
+  when not regexp_matches(r, '{KEYWORDS}') then 'rel_no_keyword'
   end"""
 
 
+def sql_keyword(rel: str) -> str:
+    return f"regexp_matches({rel}, '{KEYWORDS}')"
+
+
 def sql_judged(source: str) -> str:
     """CTE ``judged``: rec, pos, h, r, t, reason, dup number; ``kept``: the survivors."""
     return f"""stripped as (select *, {sql_strip('head')} as h, {sql_strip('rel')} as r, {sql_strip('tail')} as t from {source}),

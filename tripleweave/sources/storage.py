@@ -14,6 +14,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/stages"
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder in the shared one that nothing uses yet."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str, run: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; cuts lineage.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .json_arrays import read_json_array, write_json_arrays
+
 ENTITIES = "map<string,array<string>>"
 CHUNK_SCHEMA = "id bigint, file string, chunk_index int, source string, text string"
 ENTITY_SCHEMA = f"id bigint, text string, entities {ENTITIES}"
@@ -40,11 +42,10 @@ def read_text_files(spark: SparkSession, pattern: str) -> DataFrame:
     return files.select(source.alias("source"), plain("_metadata.file_name").alias("file"), F.col("value").alias("text"))
 
 
-def _read(spark: SparkSession, path: str, schema: str, fmt: str, multiline: bool) -> DataFrame:
-    reader = spark.read.schema(schema)
+def _read(spark: SparkSession, path: str, schema: str, fmt: str, array: bool) -> DataFrame:
     if fmt == "json":
-        return reader.json(path, multiLine=multiline)
-    return reader.format(fmt).load(path)
+        return read_json_array(spark, path, schema) if array else spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def with_rec(df: DataFrame) -> DataFrame:
@@ -56,23 +57,26 @@ def with_rec(df: DataFrame) -> DataFrame:
     return df.withColumn("rec", F.monotonically_increasing_id())
 
 
-def read_chunks(spark: SparkSession, path: str, fmt: str = "json", multiline: bool = True) -> DataFrame:
-    """Chunk table. ``multiline`` reads indented JSON arrays; JSON lines split better."""
-    return _read(spark, path, CHUNK_SCHEMA, fmt, multiline)
+def read_chunks(spark: SparkSession, path: str, fmt: str = "json", array: bool = True) -> DataFrame:
+    """Chunk table. ``array``: JSON files are arrays, each read by as many tasks as it has blocks; otherwise JSON lines."""
+    return _read(spark, path, CHUNK_SCHEMA, fmt, array)
 
 
-def read_entities(spark: SparkSession, path: str, fmt: str = "json", multiline: bool = True) -> DataFrame:
+def read_entities(spark: SparkSession, path: str, fmt: str = "json", array: bool = True) -> DataFrame:
     """Entity table with one map per record."""
-    return _read(spark, path, ENTITY_SCHEMA, fmt, multiline)
+    return _read(spark, path, ENTITY_SCHEMA, fmt, array)
 
 
-def read_triplet_records(spark: SparkSession, path: str, fmt: str = "json", multiline: bool = True) -> DataFrame:
+def read_triplet_records(spark: SparkSession, path: str, fmt: str = "json", array: bool = True) -> DataFrame:
     """Triplet table; ``triplets`` is VARIANT because it may be a list or an error object."""
-    return _read(spark, path, TRIPLET_SCHEMA, fmt, multiline)
+    return _read(spark, path, TRIPLET_SCHEMA, fmt, array)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite a stage table. JSON keeps NULL fields."""
+    """Overwrite a stage table. JSON (one record a line) and ``json_array`` (one array a file) keep NULL fields."""
+    if fmt == "json_array":
+        write_json_arrays(df, path)
+        return
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "json":
         writer = writer.option("ignoreNullFields", "false")
