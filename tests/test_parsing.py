@@ -1,6 +1,7 @@
 """Strict JSON, parsing ladders, retry and default paths of the model call."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +117,52 @@ def test_python_json(spark):
     text = df.select(J.python_json(F.col("m"))).first()[0]
     assert json.loads(text) == value
     assert text in (json.dumps(value, ensure_ascii=False), json.dumps(dict(reversed(value.items())), ensure_ascii=False))
+
+
+ODD = [
+    "1.50", "-0.0", "-0", "1e3", "1E400", "-1e-400", "1e16", "1.5e-07", "0.00001", "0.0001", "0.00012345678901", "12345678901234567890", "1" * 38,
+    "1" * 39, "-" + "9" * 45, "0.1000000000000000055511151231257827", "123456789.123456789", "1e22", "123e-7", "1.7976931348623157e308", "NaN",
+    "Infinity", "-Infinity", "0.0", "-0.5", "100.0", "9007199254740993.0", "1e0", "1.0E+2", "1234567.25", "12345678.5", "99999999999999990.0",
+    "2e-44", "4.35e-10", "true", "null", '"1e5"', "01", "1.", "-", ".5", "+1", "nan", "1e", "0x1", "-NaN", "Infinity5",
+]
+
+
+def some_numbers():
+    rng = random.Random(2)
+    for _ in range(150):
+        yield repr(rng.choice([rng.random(), rng.random() * 10 ** rng.randint(-20, 25), rng.uniform(-1e7, 1e7)]))
+        yield "%.*f" % (rng.randint(1, 20), rng.uniform(-1000, 1000))
+
+
+@pytest.mark.parametrize("before, after, parse", [
+    ('[["a,1e5 -0.0 \\" NaN", ', ', "é"]]', J.parse_array_strict), ('x [["h", ', ', "t"]] y', J.parse_array_strict),
+    ('```json\n[["h",', ',"t"]]\n```', J.parse_array_lenient), ('say ["h",\n', '\n,"t"] NaN', J.parse_array_lenient),
+])
+def test_numbers_are_taken_and_shown_as_python_does(spark, before, after, parse):
+    tokens = list(dict.fromkeys([*ODD, *some_numbers()]))
+    value = parse(F.concat(F.lit(before), F.col("t"), F.lit(after)))
+    df = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", value.alias("v"))
+    rows = df.select("t", F.transform(J.triple_items(F.col("v")), lambda x: F.array(x["head"], x["rel"], x["tail"])).alias("x")).collect()
+    for r in rows:
+        text = before + r.t + after
+        text = text[text.index("[") : text.rindex("]") + 1]
+        try:
+            want = json.loads(text)
+            want = [list(map(str, x)) for x in (want if isinstance(want[0], list) else [want])]
+        except ValueError:
+            want = []
+        assert r.x == want, r.t
+
+
+@pytest.mark.parametrize("text", [
+    '{"a":1,"a":2}', '{"L":["x"],"C":["y"],"L":["z"]} ', '{"a":1,"a":2} x', '{"a":"\\"a\\":"}', '{"a":[1],"b":{"a":3}}', "{}", '{"a":1,"b":2,"a":[]}',
+    '{"é \\" ":1,"é \\" ":"2"}', '{"a":1,"a"}',
+])
+def test_the_last_of_equal_keys_counts(spark, text):
+    got = one(spark, text, J.strict_json)
+    try:
+        assert json.loads(got) == json.loads(text)
+    except (ValueError, TypeError):
+        assert got is None
+        with pytest.raises(ValueError):
+            json.loads(text)

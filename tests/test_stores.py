@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tripleweave.operators import edge_store, graph, index, ledger, stored_index, syntax
 from tripleweave.plans import flows, stand_ins
 from tripleweave.sources import graph_sink, json_arrays, runs, tables
+from tripleweave.streaming.graph_stream import import_stream_to_store
 
 
 @pytest.fixture(autouse=True, scope="module")
@@ -292,6 +293,24 @@ def test_a_run_that_was_not_committed_does_not_exist(spark, tmp_path, monkeypatc
     assert {r.head for r in store.edges().collect()} == {"a", "e"}
 
 
+def test_stream_into_the_store_once(spark, tmp_path):
+    source, store = str(tmp_path / "s"), edge_store.EdgeStore(spark, str(tmp_path / "g"))
+    schema = "rec long, pos long, head string, rel string, tail string"
+    for k, rel in enumerate(("x-y", "x y", "z")):
+        spark.createDataFrame([(k, 0, "a", rel, "t"), (k, 1, f"h{k}", "推进", "t")], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        import_stream_to_store(stream, store, str(tmp_path / "c"), "rec", "pos", fanout=2, once=True).awaitTermination(120)
+    got = {(r.head, r.rel_type, r.tail): r.rel_name for r in store.edges().collect()}
+    sanitized = graph.graph_edges(spark.createDataFrame([(0, 0, "a", "推进", "t")], schema), "rec", "pos").first().rel_type
+    assert got == {("a", "X_Y", "t"): "x y", ("a", "Z", "t"): "z"} | {(f"h{k}", sanitized, "t"): "推进" for k in range(3)}
+    runs_before = store.runs.log().count()
+    import_stream_to_store(stream, store, str(tmp_path / "c"), "rec", "pos", once=True).awaitTermination(120)
+    assert store.runs.log().count() == runs_before
+    # the same files under another checkpoint are another import
+    import_stream_to_store(stream, store, str(tmp_path / "c2"), "rec", "pos", once=True).awaitTermination(120)
+    assert store.runs.log().count() > runs_before and store.edges().count() == len(got)
+
+
 def test_stored_index_opens_few_files(spark, tmp_path):
     rows = [(f"e{i % 500:03d}", "推进", f"x{i % 7}") for i in range(4000)] + [("hot", "推进", f"y{i}") for i in range(4000)]
     posted = index.postings(triples_of(spark, rows), "rec")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import strip
+from ..functions.text import rows_of, strip
 from ..sources.storage import stage
 
 
@@ -27,17 +27,32 @@ def postings(triples: DataFrame, *keys: str) -> DataFrame:
     return rows.filter("entity <> ''").select("entity", *keys, "pos", "role", "head", "rel", "tail")
 
 
-def inverted_index(posted: DataFrame, *keys: str, most: int = 1 << 16) -> DataFrame:
+def inverted_index(posted: DataFrame, *keys: str, most: int = 1 << 16, whole: int = 1 << 16) -> DataFrame:
     """Posting lists per entity, cut into blocks of ``most`` postings; keys of any type.
 
-    An entity, or an entity within one record, may own a third of all
-    postings, so its list is never built as one value. The postings are
-    sorted by entity and keys over all tasks; ``block`` numbers the blocks of
-    an entity in that order from 0, so together they are its whole list, each
-    full but the last. Rows of an entity that lie in several ranges are
-    counted per range first; no range is read by one task for them all.
+    ``block`` numbers the blocks of an entity from 0 in the order of the keys,
+    so together they are its whole list, each full but the last. Postings are
+    stored once and counted by entity. Lists of up to ``whole`` postings are made
+    by one shuffle on the entity and cut where they are made. An entity with more,
+    which may own a third of all postings, is never built as one value: see ``ranged_blocks``.
     """
     order = [*keys, "pos", "role", "head", "rel", "tail"]
+    stored = stage(posted, "postings")
+    hot = stage(stored.groupBy("entity").agg(F.count("*").alias("_n")).where(F.col("_n") > whole).select("entity"), "hot_entities")
+    some_hot = bool(hot.head(1))
+    light = stored.join(hot, "entity", "left_anti") if some_hot else stored
+    lists = light.groupBy("entity").agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_all"))
+    cut = F.transform(F.sequence(F.lit(0), (F.size("_all") - 1).cast("int"), F.lit(int(most))), lambda i: F.slice("_all", i + 1, F.lit(int(most))))
+    blocks = lists.select("entity", F.posexplode(rows_of(cut)).alias("block", "postings"))
+    blocks = blocks.select("entity", F.col("block").cast("bigint").alias("block"), F.size("postings").alias("n"), "postings")
+    return blocks.unionByName(ranged_blocks(stored.join(hot, "entity", "left_semi"), order, most)) if some_hot else blocks
+
+
+def ranged_blocks(posted: DataFrame, order: list[str], most: int) -> DataFrame:
+    """Blocks of entities with long lists: postings are sorted over all tasks, and counted per entity and range.
+
+    The counts before a range tell each posting its rank, and so its block, whatever the number of tasks its entity is spread over.
+    """
     ranged = stage(
         posted.repartitionByRange("entity", *order).sortWithinPartitions("entity", *order)
         .withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()),
@@ -47,11 +62,10 @@ def inverted_index(posted: DataFrame, *keys: str, most: int = 1 << 16) -> DataFr
     held = ranged.groupBy("entity", "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("entity").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     begin = held.select("entity", "_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    entry = F.struct(*order)
     return (
         ranged.join(begin, ["entity", "_range"])
         .groupBy("entity", F.expr(f"(_before + _at - _first) div {int(most)}").alias("block"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("postings"))
+        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("postings"))
         .select("entity", "block", F.size("postings").alias("n"), "postings")
     )
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from .inference import Model, infer
 
+#: More tasks are not made of one run; beyond it each has more calls.
+MOST_TASKS = 100_000
 ANSWER = "key string, response string, failure string, asked_at timestamp"
 
 
@@ -81,7 +83,7 @@ def ask(
     """Add ``response`` and ``failure`` from the ledger, after asking for what it lacks.
 
     Equal requests are asked once, whatever the number of their rows. The
-    missing ones are dealt into tasks of about ``calls_per_task`` calls by
+    missing ones are dealt into tasks of about ``calls_per_task`` calls (more beyond ``MOST_TASKS`` tasks) by
     their key, so that is what a lost task may have to ask again. A stored failure
     is asked again unless ``retry_failures`` is off. ``model`` is part of the key: give it
     the name and version of the model. ``options`` are those of ``infer``; with
@@ -98,7 +100,7 @@ def ask(
     calls = keyed.where("_key is not null").select("_key").distinct().join(known, "_key", "left_anti").count()
     if calls:
         # a fixed number of tasks: joining small ones would put more calls at risk
-        dealt = wanted.repartition(-(-calls // calls_per_task), "key")
+        dealt = wanted.repartition(min(MOST_TASKS, -(-calls // calls_per_task)), "key")
         answers = infer(dealt, load, "messages", **options)
         ledger.append(answers.select("key", "response", "failure", F.current_timestamp().alias("asked_at")))
     answers = ledger.read().select(F.col("key").alias("_key"), "response", "failure")

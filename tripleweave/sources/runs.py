@@ -17,6 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .storage import stage
+
 #: ``least`` and ``most`` are the first and the last key of the file; ``gone`` says that the run is no longer read.
 LOG = "at long, run string, level int, file string, rows long, least string, most string, gone boolean"
 #: Files of a look-up are listed by the driver one by one; beyond this many the whole runs are scanned under a filter instead.
@@ -76,6 +78,7 @@ class RunStore:
         if self.committed(run):
             return False
         data = f"{self.path}/runs/{run}"
+        rows = stage(rows, "run")  # counted, sampled and sorted, but computed once
         if files is None:
             files = max(1, -(-rows.count() // self.file_rows))
         sort = [self.key, *self.order]

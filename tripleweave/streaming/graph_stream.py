@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.edge_store import EdgeStore
 from ..operators.graph import write_batch
 
 
@@ -42,3 +43,22 @@ def import_stream(triples: DataFrame, path: str, checkpoint: str, *order: str, o
 
     writer = triples.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def import_stream_to_store(
+    triples: DataFrame, store: EdgeStore, checkpoint: str, *order: str, fanout: int = 4, once: bool = False
+) -> StreamingQuery:
+    """Merge a stream of long triples into an ``EdgeStore``, whose levels are merged as they fill.
+
+    A micro-batch is known to the store by the number of its import and its
+    own, so one that is run again after a failure is left alone: the import
+    is exactly-once, and a batch costs its own size.
+    """
+    started = import_number(triples.sparkSession, checkpoint)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        store.import_batch(batch, f"import{started}-{batch_id}", *order)
+        store.compact(fanout)
+
+    writer = triples.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
