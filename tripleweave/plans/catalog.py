@@ -716,15 +716,17 @@ def index_lookup(spark, sf):
     return _posting_columns(index.lookup(_posted(spark, sf), "Supplier#000000007"))
 
 
-@query(_POSTINGS + """ select entity, rec, pos, cast(role as bigint) as role, head, rel, tail, true as pruned
-from posted where entity in ('Supplier#000000007', 'Supplier#000000003')""")
+@query(f"""with {V.SQL_SENTENCE_TRIPLES},
+posted as (select {V.sql_strip('head')} as entity, rec, pos, 0 as role, head, rel, tail from said
+  union all select {V.sql_strip('tail')}, rec, pos, 1, head, rel, tail from said)
+select entity, rec, pos, cast(role as bigint) as role, head, rel, tail, true as pruned from posted where entity in ('The', 'Die', 'la')""")
 def index_stored_lookup(spark, sf):
-    """An index on disk of a main part and three deltas, two of them merged; ``pruned``: not all files were opened."""
-    wanted = ["Supplier#000000007", "Supplier#000000003"]
-    posted = stage(_posted(spark, sf), "postings")
-    stored = stored_index.StoredIndex(spark, fresh_folder(spark, "index"), "rec", "pos", "role", file_rows=2_000_000)
+    """An index on disk of a main part and three deltas, all merged but one; ``pruned``: not all files were opened."""
+    wanted = ["The", "Die", "la"]
+    posted = stage(index.postings(V.sentence_triples(spark, sf), "rec"), "postings")
+    stored = stored_index.StoredIndex(spark, fresh_folder(spark, "index"), "rec", "pos", "role")
     for k in range(4):
-        stored.add(posted.where(F.col("rec") % 16 >= 3) if k == 0 else posted.where(F.col("rec") % 16 == k - 1), f"batch{k}", files=16 if k == 0 else 2)
+        stored.add(posted.where(F.col("rec") % 16 >= 3) if k == 0 else posted.where(F.col("rec") % 16 == k - 1), f"batch{k}", files=16 if k == 0 else 4)
     stored.merge(fanout=3)
     stored.add(posted, "batch1")  # is there already
     opened = stored.files_read(wanted).select((F.col("opened") < F.col("files")).alias("pruned"))
@@ -764,15 +766,17 @@ def graph_merge_incremental(spark, sf):
     return graph.merge_edges(first, second)
 
 
-@query(_EDGES + """, batches as (
+@query(f"with {V.SQL_SENTENCE_TRIPLES}, graph_rows as (select * from said)," + f"""
+typed as (select rec, pos, head, rel, tail, {_SANITIZE} as rel_type from {_sanitized('rel')}),
+batches as (
   select 1 as batch, * from typed where rec % 2 = 0 union all select 2, * from typed where rec % 2 = 1
   union all select 3, * from typed where rec % 3 = 0),
-parts as (select head, rel_type, tail, batch, arg_max(rel, {'r': rec, 'p': pos, 'n': rel}) as rel_name from batches group by 1, 2, 3, 4)
-select head, rel_type, tail, arg_max(rel_name, batch) as rel_name from parts group by 1, 2, 3""")
+per_batch as (select head, rel_type, tail, batch, arg_max(rel, {{'r': rec, 'p': pos, 'n': rel}}) as rel_name from batches group by 1, 2, 3, 4)
+select head, rel_type, tail, arg_max(rel_name, batch) as rel_name from per_batch group by 1, 2, 3""")
 def graph_store_imports(spark, sf):
     """A graph on disk: a batch, the same one again, a second and a third import, merged in between."""
-    rows = stage(_graph_rows(spark, sf), "graph_rows")
-    store = edge_store.EdgeStore(spark, fresh_folder(spark, "graph"), file_rows=2_000_000)
+    rows = stage(V.sentence_triples(spark, sf), "graph_rows")
+    store = edge_store.EdgeStore(spark, fresh_folder(spark, "graph"))
     first = rows.where(F.col("rec") % 2 == 0)
     store.import_batch(first, "first", "rec", "pos")
     store.import_batch(first, "first", "rec", "pos")

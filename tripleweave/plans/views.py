@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import chunking
 from ..sources.tables import read_table
 
 # fixed values: white space as the SQL spells it, apart from the library's own list
@@ -85,6 +86,19 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sentence_triples(spark: SparkSession, sf: str) -> DataFrame:
+    """A triple of each sentence of the documents, its first and its last word: rec, pos, head, rel, tail."""
+    rows = chunking.explode_sentences(documents(spark, sf), "doc_id")
+    words = F.split("sentence", " ")
+    rel = F.get(F.array(*map(F.lit, SENTENCE_RELATIONS)), ((F.col("doc_id") + F.col("pos")) % len(SENTENCE_RELATIONS)).cast("int"))
+    return rows.select(
+        F.col("doc_id").alias("rec"), F.col("pos").cast("bigint").alias("pos"), F.get(words, F.lit(0)).alias("head"), rel.alias("rel"),
+        F.element_at(words, -1).alias("tail"),
+    )
+
+
+#: Several of them give one relation type.
+SENTENCE_RELATIONS = ["part of", "uses", "part-of", "--", "uses!"]
 RELATIONS = ["促进", "推进", "完成", "采用", "计划", "demo", "位于", "规划建设"]
 
 
@@ -246,6 +260,11 @@ cand as (
     case when k <> 12 then p_name end as tail
   from (select *, unnest(case when k = 8 then [0, 1, 2] else [0] end) as copy from base))"""
 
+SQL_SENTENCE_TRIPLES = sql_sentences("documents") + f""",
+said as (
+  select doc_id as rec, cast(pos as bigint) as pos, string_split(sentence, ' ')[1] as head,
+    {sql_list(SENTENCE_RELATIONS)}[((doc_id + pos) % {len(SENTENCE_RELATIONS)}) + 1] as rel, string_split(sentence, ' ')[-1] as tail
+  from sents)"""
 SQL_NORM = """case when regexp_matches(r, '推进|促进|推动') then '推进' when regexp_matches(r, '实现|完成') then '实现'
   when regexp_matches(r, '发展|建设') then '发展' when regexp_matches(r, '规划|计划') then '规划活动' else r end"""
 SQL_VALID = """((length({0}) <> 1 or {0} in ('北','南','东','西','中','上','下')) and regexp_matches({0}, '[\\p{{L}}\\p{{N}}]'))"""
