@@ -23,13 +23,13 @@ class StoredIndex:
         self.spark = spark
         self.runs = RunStore(spark, path, "entity", order, file_rows)
 
-    def add(self, posted: DataFrame, name: str | None = None, files: int | None = None) -> bool:
-        """Append postings; a name that is in the index already is left alone (False)."""
-        return self.runs.add(posted, name, files=files)
+    def add(self, posted: DataFrame, name: str | None = None, files: int | None = None, stored: bool = False) -> bool:
+        """Append postings; a name that is in the index already is left alone (False). ``stored``: they come from a table."""
+        return self.runs.add(posted, name, files=files, stored=stored)
 
     def merge(self, fanout: int = 4) -> int:
         """Merge full levels of runs; postings are kept as they are."""
-        return self.runs.merge_levels(lambda rows: rows, fanout)
+        return self.runs.merge_levels(fanout=fanout)
 
     def postings(self) -> DataFrame | None:
         """All postings; None if there are none."""

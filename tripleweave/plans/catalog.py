@@ -726,7 +726,7 @@ def index_stored_lookup(spark, sf):
     posted = stage(index.postings(V.sentence_triples(spark, sf), "rec"), "postings")
     stored = stored_index.StoredIndex(spark, fresh_folder(spark, "index"), "rec", "pos", "role")
     for k in range(4):
-        stored.add(posted.where(F.col("rec") % 16 >= 3) if k == 0 else posted.where(F.col("rec") % 16 == k - 1), f"batch{k}", files=16 if k == 0 else 4)
+        stored.add(posted.where(F.col("rec") % 16 >= 3) if k == 0 else posted.where(F.col("rec") % 16 == k - 1), f"batch{k}", files=16 if k == 0 else 4, stored=True)
     stored.merge(fanout=3)
     stored.add(posted, "batch1")  # is there already
     opened = stored.files_read(wanted).select((F.col("opened") < F.col("files")).alias("pruned"))

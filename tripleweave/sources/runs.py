@@ -66,11 +66,12 @@ class RunStore:
 
     # --- writing ---
 
-    def add(self, rows: DataFrame, run: str | None = None, level: int = 0, replaces: Sequence[str] = (), files: int | None = None) -> bool:
+    def add(self, rows: DataFrame, run: str | None = None, level: int = 0, replaces: Sequence[str] = (), files: int | None = None, stored: bool = False) -> bool:
         """Write a run and commit it; a name that is committed already is left alone (False).
 
         ``replaces`` names runs that go in the same commit. ``files`` fixes the
-        number of ranges; by default it follows the number of rows.
+        number of ranges; by default it follows the number of rows. ``stored``
+        says that the rows are those of a table, which may be read again; otherwise they are stored first.
         """
         run = run or uuid.uuid4().hex
         if not re.fullmatch(r"[\w.-]+", run):
@@ -78,7 +79,8 @@ class RunStore:
         if self.committed(run):
             return False
         data = f"{self.path}/runs/{run}"
-        rows = stage(rows, "run")  # counted, sampled and sorted, but computed once
+        if not stored:
+            rows = stage(rows, "run")  # counted, sampled and sorted, but computed once
         if files is None:
             files = max(1, -(-rows.count() // self.file_rows))
         sort = [self.key, *self.order]
@@ -93,11 +95,11 @@ class RunStore:
         self.commit(out)
         return True
 
-    def merge_levels(self, merged: Callable[[DataFrame], DataFrame], fanout: int = 4) -> int:
+    def merge_levels(self, merged: Callable[[DataFrame], DataFrame] | None = None, fanout: int = 4) -> int:
         """While some level has ``fanout`` runs, merge its oldest ones into one of the next; returns the number of merges.
 
         ``merged`` gets the rows of these runs and returns those that stay, in
-        the same columns. Each row is rewritten once per level, and a level
+        the same columns; without it all do. Each row is rewritten once per level, and a level
         holds less than ``fanout`` runs, so a read meets a logarithmic number of runs.
         """
         done = 0
@@ -115,7 +117,7 @@ class RunStore:
             if rows is None:
                 self.commit(self._marks(self.stamp(), [(name, full + 1, False), *((r, full, True) for r in names)]))
             else:
-                self.add(merged(rows), name, full + 1, names)
+                self.add(merged(rows) if merged else rows, name, full + 1, names, stored=merged is None)
             done += 1
 
     def stamp(self) -> int:
