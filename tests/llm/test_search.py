@@ -3,7 +3,10 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -92,6 +95,28 @@ def test_contamination_by_items_without_id_equals_the_sql(spark, table_of):
     assert next(r for r in want if r[0] == 1)[2:4] == (15, 1)
 
 
+ALONE = """
+import os, sys
+sys.path.insert(0, {root!r})
+os.environ["PYTHONPATH"] = {root!r}
+from pyspark.sql import SparkSession
+from tripleweave.llm import {module}
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "1").getOrCreate()
+spark.sparkContext.setCheckpointDir({folder!r})
+docs = spark.createDataFrame([(1, "a b c d"), (2, None)], "doc_id long, text string")
+bench = spark.createDataFrame([(7, "b c")], "item_id long, text string")
+print("ROWS", {call}.count())
+"""
+
+
+@pytest.mark.parametrize("module, call", [("decontaminate", "decontaminate.contamination(docs, bench)"), ("periodic_runs", "periodic_runs.periodic_runs(docs)")])
+def test_a_module_runs_without_the_entry_points(tmp_path, module, call):
+    root = str(Path(__file__).resolve().parent.parent.parent)
+    (tmp_path / "alone.py").write_text(ALONE.format(root=root, module=module, call=call, folder=str(tmp_path / "shared")))
+    done = subprocess.run([sys.executable, str(tmp_path / "alone.py")], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "ROWS 2" in done.stdout, done.stderr[-3000:]
+
+
 def test_suffix_array_order():
     rng = np.random.RandomState(5)
     for n, kinds in ((1, 1), (50, 2), (300, 3), (300, 200)):
