@@ -729,8 +729,8 @@ def index_stored_lookup(spark, sf):
         stored.add(posted.where(F.col("rec") % 16 >= 3) if k == 0 else posted.where(F.col("rec") % 16 == k - 1), f"batch{k}", files=16 if k == 0 else 4, stored=True)
     stored.merge(fanout=3)
     stored.add(posted, "batch1")  # is there already
-    opened = stored.files_read(wanted).select((F.col("opened") < F.col("files")).alias("pruned"))
-    return _posting_columns(stored.lookup(wanted)).join(opened)
+    opened, files = stored.files_read(wanted)
+    return _posting_columns(stored.lookup(wanted)).withColumn("pruned", F.lit(opened < files))
 
 
 # --- graph -----------------------------------------------------------------------------
