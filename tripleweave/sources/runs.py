@@ -69,8 +69,8 @@ class RunStore:
     def add(self, rows: DataFrame, run: str | None = None, level: int = 0, replaces: Sequence[str] = (), files: int | None = None, stored: bool = False) -> bool:
         """Write a run and commit it; a name that is committed already is left alone (False).
 
-        ``replaces`` names runs that go in the same commit. ``files`` fixes the
-        number of ranges; by default it follows the number of rows. ``stored``
+        ``replaces`` names runs that go in the same commit. The number of
+        ranges, and so of files, follows the number of rows; ``files`` is the least. ``stored``
         says that the rows are those of a table, which may be read again; otherwise they are stored first.
         """
         run = run or uuid.uuid4().hex
@@ -81,8 +81,7 @@ class RunStore:
         data = f"{self.path}/runs/{run}"
         if not stored:
             rows = stage(rows, "run")  # counted, sampled and sorted, but computed once
-        if files is None:
-            files = max(1, -(-rows.count() // self.file_rows))
+        files = max(files or 1, -(-rows.count() // self.file_rows))
         sort = [self.key, *self.order]
         ranged = rows.repartitionByRange(files, *sort) if files > 1 else rows.coalesce(1)
         ranged.sortWithinPartitions(*sort).write.mode("overwrite").parquet(data)
