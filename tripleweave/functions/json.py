@@ -158,8 +158,13 @@ def python_float(token: Column) -> Column:
     return let(value, shown)
 
 
-def _found(text: Column, pattern: str) -> Column:
-    return strict_json(F.regexp_extract(text, pattern, 0))
+def _first_json(*texts: Column) -> Column:
+    """The first of some texts that is one JSON value; later ones are not parsed."""
+    return F.aggregate(F.array(*texts), F.lit(None).cast("variant"), lambda found, t: F.coalesce(found, strict_json(t)))
+
+
+def _part(text: Column, pattern: str) -> Column:
+    return F.regexp_extract(text, pattern, 0)
 
 
 def strip_code_fences(text: Column) -> Column:
@@ -169,47 +174,33 @@ def strip_code_fences(text: Column) -> Column:
 
 def parse_object_strict(raw: Column) -> Column:
     """Whole string, object at the end, nested array at the end, first object."""
-    return let(
-        strip(raw),
-        lambda s: F.coalesce(
-            strict_json(s), _found(s, OBJECT_TO_END), _found(s, NESTED_ARRAY_TO_END), _found(s, OBJECT_FIRST)
-        ),
-    )
+    return let(strip(raw), lambda s: _first_json(s, _part(s, OBJECT_TO_END), _part(s, NESTED_ARRAY_TO_END), _part(s, OBJECT_FIRST)))
 
 
 def parse_object_lenient(raw: Column) -> Column:
     """Fences removed, whole string, widest object, else an empty object."""
-    return let(
-        strip_code_fences(strip(raw)),
-        lambda s: F.coalesce(strict_json(s), _found(s, OBJECT_GREEDY), F.try_parse_json(F.lit("{}"))),
-    )
+    found = let(strip_code_fences(strip(raw)), lambda s: _first_json(s, _part(s, OBJECT_GREEDY)))
+    return F.coalesce(found, F.try_parse_json(F.lit("{}")))
 
 
 def parse_array_strict(raw: Column) -> Column:
     """Whole string, else the widest nested array."""
-    return let(strip(raw), lambda s: F.coalesce(strict_json(s), _found(s, NESTED_ARRAY)))
-
-
-def _wrapped_once(s: Column) -> Column:
-    """Widest array; put in another array if its first item is no array."""
-
-    def widest(text: Column) -> Column:
-        def nested(value: Column) -> Column:
-            items = variant_items(value)
-            flat = (F.size(items) > 0) & variant_items(F.get(items, F.lit(0))).isNull()
-            return F.when(flat, strict_json(F.concat(F.lit("["), text, F.lit("]")))).otherwise(value)
+    return let(strip(raw), lambda s: _first_json(s, _part(s, NESTED_ARRAY)))
 
-        return let(strict_json(text), nested)
 
-    return let(F.regexp_extract(s, ARRAY_GREEDY, 0), widest)
+def _nested(value: Column) -> Column:
+    """An array whose first item is no array, put in another one."""
+    items = variant_items(value)
+    flat = (F.size(items) > 0) & variant_items(F.get(items, F.lit(0))).isNull()
+    return F.when(flat, F.try_parse_json(F.concat(F.lit("["), F.to_json(value), F.lit("]")))).otherwise(value)
 
 
 def parse_array_lenient(raw: Column) -> Column:
-    """Fences removed, whole string, nested array, wrapped flat array, else []."""
+    """Fences removed, whole string, nested array, widest array (wrapped once if flat), else []."""
     return let(
         strip_code_fences(strip(raw)),
         lambda s: F.coalesce(
-            strict_json(s), _found(s, NESTED_ARRAY), _wrapped_once(s), F.try_parse_json(F.lit("[]"))
+            _first_json(s, _part(s, NESTED_ARRAY)), let(_first_json(_part(s, ARRAY_GREEDY)), _nested), F.try_parse_json(F.lit("[]"))
         ),
     )
 
