@@ -30,6 +30,8 @@ JSON_FLOAT = r"^-?(?:0|[1-9][0-9]*)(?:\.[0-9]+(?:[eE][+-]?[0-9]+)?|[eE][+-]?[0-9
 #: Floats that keep their value and look in a VARIANT: few digits, not zero, not below 1e-4.
 PLAIN_FLOAT = r"^(?:-?[1-9][0-9]{0,6}\.[0-9]{1,8}|-?0\.(?:[1-9]|0[1-9]|00[1-9]|000[1-9])[0-9]{0,8}|0\.0)\z"
 LONG_INTEGER = r"^-?[1-9][0-9]{37,}\z"
+#: An array with items, the first of which is no array.
+FLAT_ARRAY = r"^\[[ \t\r\n]*[^\[\] \t\r\n]"
 #: The same key before a colon twice, strings taken whole.
 REPEATED_KEY = r'(?s)"((?:[^"\\]|\\.)*+)"\s*:.*"\1"\s*:'
 
@@ -188,21 +190,15 @@ def parse_array_strict(raw: Column) -> Column:
     return let(strip(raw), lambda s: _first_json(s, _part(s, NESTED_ARRAY)))
 
 
-def _nested(value: Column) -> Column:
-    """An array whose first item is no array, put in another one."""
-    items = variant_items(value)
-    flat = (F.size(items) > 0) & variant_items(F.get(items, F.lit(0))).isNull()
-    return F.when(flat, F.try_parse_json(F.concat(F.lit("["), F.to_json(value), F.lit("]")))).otherwise(value)
+def _wrapped_once(text: Column) -> Column:
+    """The widest array; put in another one if its first item is no array."""
+    return let(_part(text, ARRAY_GREEDY), lambda a: F.when(a.rlike(FLAT_ARRAY), F.concat(F.lit("["), a, F.lit("]"))).otherwise(a))
 
 
 def parse_array_lenient(raw: Column) -> Column:
     """Fences removed, whole string, nested array, widest array (wrapped once if flat), else []."""
-    return let(
-        strip_code_fences(strip(raw)),
-        lambda s: F.coalesce(
-            _first_json(s, _part(s, NESTED_ARRAY)), let(_first_json(_part(s, ARRAY_GREEDY)), _nested), F.try_parse_json(F.lit("[]"))
-        ),
-    )
+    found = let(strip_code_fences(strip(raw)), lambda s: _first_json(s, _part(s, NESTED_ARRAY), _wrapped_once(s)))
+    return F.coalesce(found, F.try_parse_json(F.lit("[]")))
 
 
 def text_of(value: Column) -> Column:
