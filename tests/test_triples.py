@@ -461,3 +461,40 @@ def test_index_blocks_under_a_hot_entity(spark, whole):
     assert [r.block for r in hot] == list(range(79)) and all(r.n == 64 for r in hot[:-1]) and sum(r.n for r in hot) == 5000
     flat = [(p.file, p.pos) for r in hot for p in r.postings]
     assert flat == sorted(flat) and sum(r.n for r in blocks) == 10_000
+
+
+def test_tokens_of_few_texts_exist_at_a_time(spark):
+    """A Python worker holds the token dicts of a slice of its batch, never those of all rows."""
+
+    def load():
+        live = [0]
+
+        class Answer(list):
+            def __init__(self, tokens):
+                super().__init__(tokens)
+                live[0] += 1
+                assert live[0] <= 400, "too many answers are held"
+
+            def __del__(self):
+                live[0] -= 1
+
+        parse = syntax.whitespace_tagger()
+        return lambda text: Answer(parse(text))
+
+    text = F.when(F.col("id") % 500 == 7, F.lit(None)).when(F.col("id") == 9, F.repeat(F.lit("z "), 200_000)).otherwise(
+        F.concat(F.repeat(F.lit("a b "), 128), F.col("id").cast("string")))
+    df = spark.range(0, 2000, 1, 1).withColumn("text", text)
+    got = {r.id: (r.n, r.last) for r in syntax.annotate_tokens(df, load).select("id", F.size("tokens").alias("n"), F.try_element_at("tokens", F.lit(-1))["text"].alias("last")).collect()}
+    assert got == {i: (0, None) if i % 500 == 7 else (200_000, "z") if i == 9 else (257, str(i)) for i in range(2000)}
+
+
+def test_few_chats_are_held_at_a_time():
+    import pyarrow as pa
+
+    from tripleweave.functions.slices import slices
+
+    chats = [[{"role": "user", "content": "x" * n}] * 2 if n is not None else None for n in (5, None, 0, 40, 3, 4, None)] + [[]]
+    array = pa.array([None, *chats], pa.list_(pa.struct([("role", pa.string()), ("content", pa.string())])))[1:]
+    assert inference.chat_bytes(array).tolist() == [10, 0, 0, 80, 6, 8, 0, 0]
+    parts = [p.to_pylist() for p in slices(array, inference.chat_bytes(array), 20)]
+    assert [c for p in parts for c in p] == chats and [len(p) for p in parts] == [3, 1, 4]

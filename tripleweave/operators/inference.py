@@ -12,15 +12,21 @@ import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import lexicon as L
 from ..functions import json as J
+from ..functions.slices import slices
 from .triples import has_entities, long_enough
 
 Model = Callable[[list[dict]], str]
+ANSWER = pa.struct([("response", pa.string()), ("failure", pa.string())])
+#: Bytes of messages that a Python worker holds as objects, unless a single row has more.
+CHATS_AT_ONCE = 4 << 20
 
 
 def call_with_retry(model: Model, messages: list[dict], tries: int, wait: float) -> str:
@@ -35,6 +41,14 @@ def call_with_retry(model: Model, messages: list[dict], tries: int, wait: float)
     raise ValueError("tries must be positive")
 
 
+def chat_bytes(chats: pa.Array) -> np.ndarray:
+    """Bytes of the messages of each row; none of a null."""
+    offsets = np.asarray(chats.offsets).astype(np.int64)
+    content = chats.values.field("content")
+    sums = np.concatenate(([0], np.cumsum(np.asarray(pc.fill_null(pc.binary_length(content), 0)).astype(np.int64))))
+    return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
 def infer(
     df: DataFrame,
     load: Callable[[], Model],
@@ -72,17 +86,18 @@ def infer(
                 return {"response": default, "failure": None}
             return {"response": None, "failure": str(error)}
 
-    @F.pandas_udf("response string, failure string")
-    def answers(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<response:string,failure:string>")
+    def answers(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         with ThreadPoolExecutor(at_once) as pool:
             for batch in batches:
-                calls = [pool.submit(ask, model, chat) for chat in batch]
-                try:
-                    yield pd.DataFrame([c.result() for c in calls], columns=["response", "failure"])
-                finally:
-                    for c in calls:
-                        c.cancel()
+                for part in slices(batch, chat_bytes(batch), CHATS_AT_ONCE):
+                    calls = [pool.submit(ask, model, chat) for chat in part.to_pylist()]
+                    try:
+                        yield pa.array([c.result() for c in calls], ANSWER)
+                    finally:
+                        for c in calls:
+                            c.cancel()
 
     # one call per row, even if a later step uses the answer twice
     asked = df.withColumn("_answer", answers.asNondeterministic()(F.col(messages)))
