@@ -412,3 +412,22 @@ def test_the_last_error_is_raised():
     with pytest.raises(OSError, match="no b") as e:
         syntax.model_ladder(["a", "b"], open_model)()
     assert e.value.__notes__ == ["a: OSError: no a"]
+
+
+def test_file_ranges_are_found_without_a_sort_of_all_rows(spark, tmp_path):
+    """Ends of the files of a run: right with nulls and letters of any script, and no task sorts its rows for them."""
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "é", "z", "城市", "\U0001f600", "", None, "Z"]) , i) for i in range(300)]
+    store = runs.RunStore(spark, str(tmp_path / "runs"), "k", ["n"], file_rows=40)
+    plans = []
+    keep = store.commit
+    store.commit = lambda out: (plans.append(out._jdf.queryExecution().executedPlan().toString()), keep(out))
+    assert store.add(spark.createDataFrame(rows, "k string, n long"), "one")
+    files = store.files().where("file is not null").collect()
+    assert sum(f["rows"] for f in files) == 300 and len(files) >= 7
+    for f in files:
+        got = [r.k for r in spark.read.parquet(f["file"]).collect() if r.k is not None]
+        assert (f["least"], f["most"]) == ((min(got, key=str.encode), max(got, key=str.encode)) if got else (None, None)) and f["rows"] >= len(got)
+    scans = [line for line in plans[0].split("== Initial Plan ==")[0].splitlines()]
+    below = "\n".join(scans[next(i for i, x in enumerate(scans) if "MapInArrow" in x):])
+    assert "Sort" not in below

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,15 @@ LOG = "at long, run string, level int, file string, rows long, least string, mos
 LISTED = 10_000
 
 
+def file_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, first and last key of each file in a batch: a row per batch and file, since Spark would sort all rows for the ends of strings."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        got = pa.Table.from_batches([batch]).group_by("file").aggregate([("key", "count", pc.CountOptions(mode="all")), ("key", "min"), ("key", "max")])
+        yield from got.select(["file", "key_count", "key_min", "key_max"]).rename_columns(["file", "rows", "least", "most"]).to_batches()
+
+
 class RunStore:
     """Runs sorted by ``key`` (a string column) and the further columns ``order``, in files of about ``file_rows`` rows.
 
@@ -86,8 +97,9 @@ class RunStore:
         ranged = rows.repartitionByRange(files, *sort) if files > 1 else rows.coalesce(1)
         ranged.sortWithinPartitions(*sort).write.mode("overwrite").parquet(data)
         at = self.stamp()
-        written = self.spark.read.schema(rows.schema).parquet(data).groupBy(F.col("_metadata.file_path").alias("file")).agg(
-            F.count("*").alias("rows"), F.min(self.key).alias("least"), F.max(self.key).alias("most")
+        keys = self.spark.read.schema(rows.schema).parquet(data).select(F.col("_metadata.file_path").alias("file"), F.col(self.key).alias("key"))
+        written = keys.mapInArrow(file_ranges, "file string, rows long, least string, most string").groupBy("file").agg(
+            F.sum("rows").alias("rows"), F.min("least").alias("least"), F.max("most").alias("most")
         ).withColumns({"at": F.lit(at).cast("long"), "run": F.lit(run), "level": F.lit(level), "gone": F.lit(False)})
         # the name is logged for itself as well: an empty run has no file, and yet is done
         out = written.unionByName(self._marks(at, [(run, level, False), *((r, level, True) for r in replaces)]))
