@@ -498,3 +498,15 @@ def test_few_chats_are_held_at_a_time():
     assert inference.chat_bytes(array).tolist() == [10, 0, 0, 80, 6, 8, 0, 0]
     parts = [p.to_pylist() for p in slices(array, inference.chat_bytes(array), 20)]
     assert [c for p in parts for c in p] == chats and [len(p) for p in parts] == [3, 1, 4]
+
+
+def test_records_of_a_model_have_the_syntax_of_their_text_and_store_its_tokens_alone(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "城市北部规划 建设\n产业园区。"), (2, "x y."), (3, "")], "doc_id int, text string")
+    run = f"syntax-{os.path.basename(tmp_path)}-{os.urandom(4).hex()}"
+    records = flows.model_records(docs, "doc_id", ner=stand_ins.entity_model, extract=stand_ins.triple_model, tries=1, wait=0.0, run=run)
+    assert records.columns[records.columns.index("syntax") + 1 :] == ["triplets", "error", "raw"] and "tokens" not in records.columns
+    got = {r.id: r.syntax for r in records.select(F.col("doc_id").alias("id"), "syntax").collect()}
+    want = {r.id: r.syntax for r in syntax.analyze_syntax(records.select(F.col("doc_id").alias("id"), "text")).collect()}
+    assert got == want and len(got) >= 2
+    stored = spark.read.parquet(f"{storage.shared_folder(spark)}/{run}/triplets")
+    assert "syntax" not in stored.columns and "tokens" in stored.columns
