@@ -510,3 +510,45 @@ def test_records_of_a_model_have_the_syntax_of_their_text_and_store_its_tokens_a
     assert got == want and len(got) >= 2
     stored = spark.read.parquet(f"{storage.shared_folder(spark)}/{run}/triplets")
     assert "syntax" not in stored.columns and "tokens" in stored.columns
+
+
+# --- answers that exist at a time ---------------------------------------------------------
+
+
+def few_held(most):
+    """Loader of a tagger that fails once more than ``most`` of its answers exist."""
+
+    def load():
+        live = [0]
+
+        class Answer(list):
+            def __init__(self, tokens):
+                super().__init__(tokens)
+                live[0] += 1
+                assert live[0] <= most, "too many answers are held"
+
+            def __del__(self):
+                live[0] -= 1
+
+        parse = syntax.whitespace_tagger()
+        return lambda text: Answer(parse(text))
+
+    return load
+
+
+def long_texts(spark):
+    """One partition and one Arrow batch of 1,500 texts of about 1 KB each."""
+    return spark.range(0, 1500, 1, 1).withColumn("text", F.concat(F.repeat(F.lit("a b "), 256), F.col("id").cast("string")))
+
+
+def test_a_model_of_a_ladder_holds_few_answers(spark):
+    load = few_held(300)
+
+    def open_model(name):
+        if name == "large":
+            raise OSError(name)
+        return load()
+
+    rows = syntax.annotate_tokens(long_texts(spark), syntax.model_ladder(["large", "small"], open_model)).select("id", F.inline("tokens"))
+    got = rows.groupBy("id").agg(F.count("*").alias("n"), F.max_by("text", "i").alias("last")).collect()
+    assert {(r.id, r.n, r.last) for r in got} == {(i, 513, str(i)) for i in range(1500)}
