@@ -552,3 +552,9 @@ def test_a_model_of_a_ladder_holds_few_answers(spark):
     rows = syntax.annotate_tokens(long_texts(spark), syntax.model_ladder(["large", "small"], open_model)).select("id", F.inline("tokens"))
     got = rows.groupBy("id").agg(F.count("*").alias("n"), F.max_by("text", "i").alias("last")).collect()
     assert {(r.id, r.n, r.last) for r in got} == {(i, 513, str(i)) for i in range(1500)}
+
+
+def test_dependency_lists_need_few_answers(spark):
+    rows = syntax.annotate_tokens(long_texts(spark), few_held(300)).select("id", F.inline(syntax.dependency_list(F.col("tokens"))))
+    got = rows.groupBy("id").agg(F.count("*").alias("n"), F.max_by("child_text", "child_i").alias("last"), F.max_by("head_text", "child_i").alias("head")).collect()
+    assert {(r.id, r.n, r.last, r.head) for r in got} == {(i, 513, str(i), "b") for i in range(1500)}
