@@ -558,3 +558,10 @@ def test_dependency_lists_need_few_answers(spark):
     rows = syntax.annotate_tokens(long_texts(spark), few_held(300)).select("id", F.inline(syntax.dependency_list(F.col("tokens"))))
     got = rows.groupBy("id").agg(F.count("*").alias("n"), F.max_by("child_text", "child_i").alias("last"), F.max_by("head_text", "child_i").alias("head")).collect()
     assert {(r.id, r.n, r.last, r.head) for r in got} == {(i, 513, str(i), "b") for i in range(1500)}
+
+
+def test_feature_strings_need_few_answers(spark):
+    got = syntax.analyze_syntax(long_texts(spark), few_held(300)).select("id", "syntax.dep", "syntax.con_pos").collect()
+    dep = "a(ROOT) -> b(dep)" + " -> a(dep) -> b(dep)" * 255
+    pos = " ".join(["a(WORD) b(WORD)"] * 256)
+    assert {(r.id, r.dep, r.con_pos) for r in got} == {(i, f"{dep} -> {i}(dep)", f"{pos} {i}(WORD)") for i in range(1500)}
