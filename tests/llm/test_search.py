@@ -1,6 +1,7 @@
 """Decontamination, long repeats and shared passages against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 import subprocess
@@ -266,6 +267,62 @@ def test_changed_passages_are_found(table_of):
     assert len(want & got) >= 0.98 * len(want)
 
 
+@pytest.mark.parametrize("counters, salts", [(1024, 64), (4000, 3)])
+def test_changed_passages_of_frequent_seeds_are_found(spark, stored, counters, salts):
+    rng = random.Random(25)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    one, two = fresh(30), fresh(30)
+    rows, changed = [], []
+    for i in range(120):
+        words = one if i % 2 else two
+        if i % 20 == 10:  # both parts, another word replaced in each such row; the rows before and the first have one part
+            words = one + two
+            words = [fresh(1)[0] if k == 20 + i // 5 else w for k, w in enumerate(words)]
+            changed.append(i)
+        rows.append((i, " ".join(fresh(12) + words + fresh(12))))
+    df = stored(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    got = chain_dedup.shared_passages(df, counters=counters, salts=salts).collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(i, j) for i in changed for j in changed if i > j} and len(got) == 15
+    assert all((r.start, r.stop, r.other_start, r.other_stop, r.matched) == (12, 72, 12, 72, 58) for r in got)
+
+
+def brute_edges(rows):
+    out = Counter()
+    for i, j in itertools.permutations(rows, 2):
+        begin = i[4] != j[4] or not i[4]
+        end = i[5] != j[5] or not i[5]
+        if i[:2] == j[:2] and i[2] > j[2] and (begin or end) and (i[6] == j[6] == 0 or i[6] != j[6]):
+            out[i[2], j[2], i[3], j[3], begin + 2 * end] += 1
+    return out
+
+
+@pytest.mark.parametrize("size, limit, block", [(1, 16, 1 << 20), (7, 2, 8), (1000, 1, 1), (1000, 16, 5), (50, 3, 64)])
+def test_edges_of_matches_against_all_pairs(size, limit, block):
+    rng = random.Random(size)
+    rows = [(*c[:4], rng.randint(0, 2), rng.randint(0, 2), c[2] % 3 if c[1] else 0) for c in sorted({
+        (rng.randint(0, 4) ** 2 // 4, rng.randint(0, 1), rng.randint(0, 9), rng.randint(0, 30)) for _ in range(150)
+    })]
+    names = ["h", "cell", "row", "at", "before", "behind", "side"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size])], names=names) for i in range(0, len(rows), size)]
+    got = Counter(tuple(x.values()) for b in chain_dedup.edges(limit, block)(iter(batches)) for x in b.to_pylist())
+    assert got == brute_edges(rows)
+
+
+def test_copies_of_a_text_meet_once(table_of):
+    rng = random.Random(26)
+    text = prose(rng, 60)
+    rows = [(i, text) for i in range(9)] + [(20, f"{prose(rng, 5)} {text}"), (21, None), (22, None), (23, "a b"), (24, "a b")]
+    got = chain_dedup.shared_passages(table_of(rows)).collect()
+    assert len(got) == 9 and {x for r in got for x in (r.doc_id, r.other_id)} == {*range(9), 20}
+    assert all(r.stop - r.start == r.other_stop - r.other_start == r.matched == 60 for r in got)
+
+
+def test_bounded_passages_hold_unchanged_ones(docs, texts, stored):
+    df = stored(docs)
+    both = [{x for r in chain_dedup.shared_passages(df, limit=2, whole=w).collect() for x in (r.doc_id, r.other_id)} for w in (False, True)]
+    assert both[0] and both[0] <= both[1]
+
+
 def test_equal_words_beyond_a_gap_do_not_hide_a_passage(table_of):
     rng = random.Random(24)
     fresh = lambda n: " ".join(f"v{rng.randrange(10**9)}" for _ in range(n))
