@@ -197,6 +197,18 @@ def test_index_family_merges_geometrically(spark):
     assert sum(level.agg({"n": "sum"}).first()[0] for _, level in family.levels) == 60
 
 
+def test_suffix_arrays_are_small(monkeypatch):
+    rng = random.Random(27)
+    texts = [prose(rng, 60_000) for _ in range(20)]  # about 0.2 MB each
+    items = decontaminate.Items(["a"], [" ".join(texts[7].split()[100:120])], 13)
+    sizes, build = [], decontaminate.suffix_array
+    monkeypatch.setattr(decontaminate, "suffix_array", lambda symbols, depth: sizes.append(len(symbols)) or build(symbols, depth))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts)], names=["row", "text"])
+    got = [x for b in decontaminate.scan(items)(iter([batch])) for x in b.to_pylist()]
+    assert [x["row"] for x in got] == list(range(20)) and [x["row"] for x in got if x["items"]] == [7]
+    assert sum(sizes) == 20 * 60_001 and max(sizes) <= 60_001 * (2 << 20) / min(map(len, texts)) + 1
+
+
 def test_shared_passages(docs, texts, stored):
     words = {i: re.findall(r"[^\x20\x09-\x0D]+", lowered(t)) for i, t in texts}
     got = chain_dedup.shared_passages(stored(docs)).collect()

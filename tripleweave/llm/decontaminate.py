@@ -15,6 +15,9 @@ from .common import ranges, runs, shards, stage, text_bytes, words_of
 IS_WORD = np.zeros(256, bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 
+#: Bytes of text in one suffix array, unless a single row is longer; with its temporaries it takes about 20 times as much.
+ARRAY = 2 << 20
+
 BITS = np.uint64(24)  # of a place in a shard of at most 2^24 words
 LOW = np.uint64((1 << 24) - 1)
 #: Set in every word, so that its symbol stands above the one that ends a document.
@@ -168,7 +171,7 @@ def scan(items: Items):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in shards(batch, "text"):
+            for part in shards(batch, "text", ARRAY):
                 yield shard(part)
 
     return run
@@ -203,7 +206,7 @@ def contamination(
     is null: their windows hit, they are one of the items (null in ``items``),
     and the digest leaves them out. An empty benchmark hits nothing. Repeated documents each get their row.
 
-    Every task builds suffix arrays of its documents, a few MB at a time, and
+    Every task builds suffix arrays of its documents, ``ARRAY`` bytes at a time, and
     binary-searches every item suffix in them; nothing is shuffled. The
     benchmark is sent in blocks of ``block_bytes`` of text: one pass over the
     documents for each block, whose hits are put together by document.
