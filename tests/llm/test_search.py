@@ -344,6 +344,63 @@ def test_equal_words_beyond_a_gap_do_not_hide_a_passage(table_of):
     assert [(r.start, r.stop, r.matched) for r in got] == [(9, 59, 50)]
 
 
+def test_passages_are_found_without_shuffling_pairs_of_places(docs, stored):
+    df = stored(docs)
+    got = chain_dedup.shared_passages(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "hashpartitioning(row" not in plan and "hashpartitioning(h" not in plan
+    rows = sorted(map(tuple, got.collect()))
+    assert rows and rows == sorted(map(tuple, chain_dedup.shared_passages(df, size=2_000).collect()))  # in many blocks
+
+
+def test_far_equal_words_do_not_hide_a_part_of_a_chain(table_of):
+    rng = random.Random(28)
+    fresh = lambda n: " ".join(f"v{rng.randrange(10**9)}" for _ in range(n))
+    far, one, two, three = fresh(40), fresh(21), fresh(38), fresh(21)
+    rows = [(0, f"{far} {one} {fresh(5)} {two} {fresh(1)} {three}"), (1, f"{fresh(4)} {far} {fresh(49)} {one} {fresh(5)} {two} {fresh(1)} {three} {fresh(9)}")]
+    got = chain_dedup.shared_passages(table_of(rows)).collect()
+    assert [(r.start, r.stop, r.other_start, r.other_stop, r.matched) for r in got] == [(93, 179, 40, 126, 80)]
+
+
+def stretched(texts, k=4, reach=40, least=50, fewest=7, size=10**6):
+    """Blocks of stretches of the texts, one for each list of them, without Spark."""
+    blobs = []
+    for part in texts:
+        batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in part]), pa.array([i for i, _ in part]), pa.array([t for _, t in part])], names=["row", "doc_id", "text"])
+        blobs += list(chain_dedup.packed(least)(iter([batch])))
+    parts = pa.Table.from_batches(chain_dedup.seed_parts(k)(iter(blobs))).sort_by("part")
+    bits = defaultdict(list)
+    for b in chain_dedup.repeated(iter(parts.to_batches(max_chunksize=7))):
+        for x in b.to_pylist():
+            bits[x["block"]].append(x)
+    both = [pa.RecordBatch.from_pylist([x | {"parts": bits[x["block"]]}]) for b in blobs for x in b.to_pylist()]
+    return [x for b in both for out in chain_dedup.kept_stretches(k, reach, least, fewest, size)(iter([b])) for x in out.to_pylist()]
+
+
+def test_texts_without_repeated_seeds_leave_nothing():
+    rng = random.Random(29)
+    fresh = lambda n: " ".join(f"v{rng.randrange(10**9)}" for _ in range(n))
+    few, shared = fresh(9), fresh(60)
+    texts = [(i, f"{fresh(200)} {few} {fresh(200)}") for i in range(30)] + [(30 + i, f"{fresh(300)} {shared} {fresh(300)}") for i in range(2)] + [(40, None), (41, "a b")]
+    (block,) = stretched([texts])
+    assert np.frombuffer(block["rows"], np.int64).tolist() == [30, 31] and block["ids"] == [30, 31]
+    assert np.frombuffer(block["lengths"], np.int32).tolist() == [160, 160] and np.frombuffer(block["starts"], np.int32).tolist() == [250, 250]
+    assert len(block["seeds"]) == 4 * 2 * 57
+
+
+@pytest.mark.parametrize("most", [1, 50, 10**6])
+def test_beginnings_against_all_pairs(most):
+    rng = random.Random(most)
+    words = [f"w{i}" for i in range(3)]
+    texts = [[(10 * b + i, " ".join(rng.choice(words[: 1 + i % 3]) for _ in range(rng.randint(50, 70)))) for i in range(6)] for b in range(2)]
+    x, y = (chain_dedup.Stretches(b, 4, 50) for b in stretched(texts))
+    for u, v in ((x, y), (x, x)):
+        same = lambda a, b: (u.words[a : a + 4] == v.words[b : b + 4]).all()  # noqa: E731, B023
+        got = Counter((int(a), int(b)) for p, q in chain_dedup.beginnings(u, v, most) for a, b in zip(p, q))
+        want = Counter((a, b) for a in u.place.tolist() for b in v.place.tolist() if same(a, b) and not same(a - 1, b - 1))
+        assert {c: n for c, n in got.items() if u is not v or c[0] != c[1]} == {c: n for c, n in want.items() if u is not v or c[0] != c[1]}
+
+
 def test_chains_of_a_row_come_in_slices(spark, table_of):
     rng = random.Random(23)
     shared = prose(rng, 60)
