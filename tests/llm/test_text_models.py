@@ -95,6 +95,72 @@ def test_extract(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def brute_pairs(rows):
+    """Pages of each host in order of their paths: (id, text, shared lines, pair), sought over the whole host."""
+    out = []
+    for host in {u.split("/")[2] for _, u, _ in rows}:
+        pages = []
+        for i, u, html in rows:
+            if u.split("/")[2] == host:
+                lines = html_extract.lines_of(html)
+                pages.append((u.split("?")[0].split("/", 3)[3], i, [t for _, t in lines], [k for k, _ in lines]))
+        pages.sort(key=lambda p: p[:2])
+        for at, (path, i, lines, kinds) in enumerate(pages):
+            main = html_extract.MAIN_KIND in kinds
+            keep = [k == (html_extract.MAIN_KIND if main else html_extract.OPEN_KIND) for k in kinds]
+            sides = []
+            for side in (pages[:at][::-1], pages[at + 1 :]):
+                others = [p for p in side if p[2] != lines] if not main and any(keep) else []
+                sides += (others or side)[:1]
+            n_shared, pair = 0, None
+            for other in sorted(sides, key=lambda o: -html_extract.prefix_length(path, o[0])):
+                names = {t: n for n, t in enumerate({*lines, *other[2]})}
+                shared = html_extract.common_lines(*(np.array([names[t] for t in x], np.int64) for x in (lines, other[2]))).tolist()
+                n_shared, pair = len(shared), other[1]
+                left = [k and j not in shared for j, k in enumerate(keep)]
+                if main or any(left):
+                    keep = keep if main else left
+                    break
+            out.append((i, "\n".join(t for t, k in zip(lines, keep) if k), n_shared, pair))
+    return sorted(out)
+
+
+def test_pairs_are_sought_over_the_whole_host(spark):
+    rng = random.Random(8)
+    rows = []
+    for host, many in (("large.example", 60), ("small.example", 3)):
+        for section in rng.sample(range(10**6), many):  # lines that stand in one section only, of two pages
+            for page in range(2):
+                body = f"<p>Menu {section}</p><p>Own {section} {page}</p><p>Imprint</p><p>Section {section}</p>"
+                rows.append((len(rows), f"http://{host}/{section}/{page}", f"<article>{body}</article>" if section % 7 == 0 else body))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    want = brute_pairs(rows)
+    assert sum(t == f"Own {t.split()[1]} {t.split()[2]}" for _, t, _, _ in want if "\n" not in t) > 90
+    for group, hosts in ((512, 1024), (1, 1024), (1, 3)):
+        got = html_extract.extract(df, group=group, hosts=hosts).select("page_id", "text", "n_shared", "paired_with").collect()
+        assert sorted(map(tuple, got)) == want, (group, hosts)
+
+
+def test_pages_are_paired_beyond_their_copies(spark):
+    rng = random.Random(9)
+    page = lambda own: f"<p>Menu here</p><p>{own}</p><nav>Up</nav><p>Imprint</p>"
+    rows = []
+    for host in ("a.example", "b.example", "c.example"):
+        for path in range(6):
+            for copy in range(rng.choice([1, 2, 3, 30])):
+                html = page(f"Text {path} of {host}")
+                rows.append((len(rows), f"http://{host}/{path}/{copy:02d}", f"<article>{html}</article>" if rng.random() < 0.1 else html))
+    rows += [(len(rows) + i, f"http://copies.example/{i}", page("the same")) for i in range(20)]
+    rows += [(len(rows) + i, f"http://empty.example/{i}", "" if i % 3 else page(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    want = brute_pairs(rows)
+    assert all("Menu" not in t for (i, t, _, _), (_, u, html) in zip(want, sorted(rows)) if u[7] in "abc" and u[8] == "." and "<article>" not in html)
+    for group in (512, 1):
+        got = html_extract.extract(df, group=group).select("page_id", "text", "n_shared", "paired_with").collect()
+        assert sorted(map(tuple, got)) == want, group
+
+
 # --- language -----------------------------------------------------------------------
 
 SOUNDS = {"xx": "ka mo ti ru sel dan".split(), "yy": "schö ber ung zie ach lau".split(), "zz": "que ión ado ñe llo ra".split()}
