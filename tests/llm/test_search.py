@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from .conftest import prose
 from tripleweave.llm import chain_dedup, decontaminate, queries, suffix_dedup
@@ -392,6 +393,57 @@ def test_beginnings_against_all_pairs(most):
         assert {c: n for c, n in got.items() if u is not v or c[0] != c[1]} == {c: n for c, n in want.items() if u is not v or c[0] != c[1]}
 
 
+def test_equal_words_is_a_longest_subsequence():
+    rng = np.random.RandomState(6)
+    for most in [0, 1, 5, 40, 150] * 60:
+        x, y = (rng.randint(0, rng.randint(1, 12), rng.randint(0, most + 1)).astype(np.uint64) << np.uint64(60) for _ in "xy")
+        t = np.zeros((len(x) + 1, len(y) + 1), int)
+        for i in range(len(x)):
+            for j in range(len(y)):
+                t[i + 1, j + 1] = t[i, j] + 1 if x[i] == y[j] else max(t[i, j + 1], t[i + 1, j])
+        assert chain_dedup.equal_words(x, y) == t[-1, -1]
+
+
+def test_extended_one_by_one_and_together():
+    rng = np.random.RandomState(7)
+    for _ in range(300):
+        x, y = rng.randint(0, rng.randint(2, 5), (2, rng.randint(0, 60)))
+        value = np.cumsum(np.where(x == y, 1, -1))
+        low = np.flatnonzero(np.maximum.accumulate(np.append(0, value))[:-1] - value >= 4)
+        value = value[: low[0]] if len(low) else value
+        end = int(np.argmax(value)) + 1 if len(value) and value.max() > 0 else 0
+        want = end, int((x[:end] == y[:end]).sum())
+        assert chain_dedup.extended(x, y) == (end, *want)
+        for sign, u, v in ((1, x, y), (-1, x[::-1], y[::-1])):
+            u, v = (np.concatenate((np.arange(a, a + 60), w, np.arange(a + 60, a + 120))) for a, w in ((10**6, u), (10**7, v)))
+            at = np.array([60 if sign == 1 else 59 + len(x)])
+            assert tuple(int(z[0]) for z in chain_dedup.extended_all(u, v, at, at, sign, 60)) == want
+
+
+@pytest.mark.parametrize("step", [1, 3, 16])
+def test_equal_run(step):
+    rng = np.random.RandomState(step)
+    x, y = (np.concatenate((rng.randint(0, 2, 400), np.arange(a, a + 20))) for a in (10, 100))
+    y[100:200] = x[50:150]
+    p, q = np.concatenate((rng.randint(0, 400, (2, 500)), [[50, 390], [100, 10]]), axis=1)
+    want = [next(n for n in range(421) if x[a + n] != y[b + n]) for a, b in zip(p.tolist(), q.tolist())]
+    assert chain_dedup.equal_run(x, y, p, q, step).tolist() == want and max(want) >= 100
+
+
+def test_every_two_blocks_meet_in_a_task_and_passages_are_not_shuffled(spark, table_of):
+    rng = random.Random(31)
+    shared = prose(rng, 60)
+    docs = table_of([(i, f"{prose(rng, 400)} {shared}") for i in range(100)] + [(100, shared), (101, shared)])
+    rows = docs.repartition(24, "doc_id").select(F.col("doc_id").alias("row"), "doc_id", "text")
+    found = chain_dedup.met(rows, 4, 0.1, 40, 50, 0.8, 7, 2_000, 8)
+    assert found.count() == 102 * 101 // 2
+    blocks = {r.block for r in spark.read.parquet(*{re.sub("/part-[^/]*$", "", f) for f in found.inputFiles()}).select("block").collect()}
+    assert len(blocks) > 10 and found.rdd.getNumPartitions() == len(blocks) ** 2
+    got = chain_dedup.shared_passages(docs, size=2_000)
+    assert {(max(r.doc_id, r.other_id), min(r.doc_id, r.other_id)) for r in got.collect()} == {(i, j) for i in range(102) for j in range(i)}
+    assert "Exchange hashpartitioning(row" not in (plan := got._jdf.queryExecution().executedPlan().toString()) and "[row" in plan
+
+
 def test_chains_of_a_row_come_in_slices(spark, table_of):
     rng = random.Random(23)
     shared = prose(rng, 60)
